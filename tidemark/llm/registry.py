@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality_rules
+from tidemark.llm import mixing, quality_rules, url_filters
 
 
 def queries() -> dict:
-    return {"op1_quality_rules": quality_rules.op1_quality_rules}
+    return {
+        "op1_quality_rules": quality_rules.op1_quality_rules,
+        "op3_url_filters": url_filters.op3_url_filters,
+        "op6_mixing": mixing.op6_mixing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_filters": url_filters.ORACLE_SQL}
