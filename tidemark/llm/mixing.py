@@ -115,7 +115,7 @@ def _fly(last: bool):
     return run
 
 
-def balanced(docs: DataFrame, group_rows: int = 20_000) -> DataFrame:
+def balanced(docs: DataFrame, group_rows: int = 2_000) -> DataFrame:
     """docs has OWN + row, source_no, size, order, p. All rows come back with p 0 or 1."""
     counts = {r[0]: r[1] for r in docs.groupBy(f"{OWN}source_no").count().collect()}
     if not counts:

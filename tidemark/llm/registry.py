@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, quality_rules, url_filters
+from tidemark.llm import decontaminate, jaccard_join, licenses, mixing, quality_rules, toxicity, url_filters
 
 
 def queries() -> dict:
     return {
         "op1_quality_rules": quality_rules.op1_quality_rules,
+        "op2_jaccard_join": jaccard_join.op2_jaccard_join,
         "op3_url_filters": url_filters.op3_url_filters,
+        "op5_license_scan": licenses.op5_license_scan,
         "op6_mixing": mixing.op6_mixing,
+        "op8_decontamination": decontaminate.op8_decontamination,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": url_filters.ORACLE_SQL}
+    return {"op3_url_filters": url_filters.ORACLE_SQL, "op8_decontamination": decontaminate.ORACLE_SQL}

@@ -14,10 +14,13 @@ import pyarrow as pa
 SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = [np.uint64(x | 1) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+#: Tables of bytes: A-Z lower-cased, and a space for all that separates words.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+LOWER[0x09:0x0E] = 32
+#: Here all other than letters, digits and non-ASCII characters separates words.
+LETTERS = LOWER.copy()
+LETTERS[[c for c in range(128) if not chr(c).isalnum()]] = 32
 _POWERS: list[np.ndarray] = []
 
 
@@ -63,12 +66,12 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all lower-cased words, and the places in them where each row starts (rows + 1)."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, lower-cased, and the places in them where each row starts (rows + 1)."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    low = _LOWER[data]
-    word = ~_SPACE[low]
+    low = table[data]
+    word = low != 32
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     before = np.empty(len(data), bool)
