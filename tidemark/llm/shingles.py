@@ -66,8 +66,11 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words, lower-cased, and the places in them where each row starts (rows + 1)."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER, prefix: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, lower-cased, and the places in them where each row starts (rows + 1).
+
+    prefix: only that many first bytes of a word count, if not 0.
+    """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     low = table[data]
@@ -82,6 +85,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER
     after[-1] = False
     after[:-1] = word[1:]
     ends = np.flatnonzero(word & (~after | cut[1:])) + 1
+    if prefix:
+        ends = np.minimum(ends, starts + prefix)
     power, inverse = _powers(len(data) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(data) + 1, np.uint64)

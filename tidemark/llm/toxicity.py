@@ -2,9 +2,10 @@
 
 Categories are predicted one after the other: `insult` (names for people), `contempt` (words that
 belittle), then `toxic`, the label itself. A category's linear model sees how often the text has
-each of a few hundred telling words, and the probabilities of all earlier categories. In training,
-those probabilities are out-of-fold predictions, so that a later model learns how far it can trust
-the earlier ones on texts they have not seen.
+each of a few hundred telling words or beginnings of words (inflected languages have many forms of
+one stem), and the probabilities of all earlier categories. In training, those probabilities are
+out-of-fold predictions, so that a later model learns how far it can trust the earlier ones on texts
+they have not seen.
 
 The labels say only toxic or not; a text counts as an example of `insult` or `contempt` if it is
 labelled toxic and has a word of that category's list.
@@ -30,10 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import read_table
-from tidemark.llm.shingles import LETTERS, slices, word_hashes
+from tidemark.llm.shingles import LETTERS, mix, slices, word_hashes
 
 MAX_LABELLED = 8_000
 N_WORDS = 400
+#: Bytes of the beginnings of words that count, besides whole words.
+PREFIXES = (0, 6, 7, 8)
 FOLDS = 5
 BUCKET_BITS = 18
 
@@ -85,17 +88,30 @@ def bucket_of(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all words and beginnings of words, and the row of each."""
+    buckets, of = [], []
+    for prefix in PREFIXES:
+        words, rows = word_hashes(data, offsets, LETTERS, prefix)
+        with np.errstate(over="ignore"):
+            buckets.append(bucket_of(mix(words + np.uint64(prefix))))
+        of.append(np.repeat(np.arange(len(offsets) - 1), np.diff(rows)))
+    return np.concatenate(buckets), np.concatenate(of)
+
+
 def _buckets_of(words: tuple[str, ...]) -> np.ndarray:
     texts = pa.array(words)
-    return np.concatenate([bucket_of(word_hashes(data, offsets, LETTERS)[0]) for _, data, offsets in slices(texts)])
+    return np.concatenate([bucket_of(mix(word_hashes(data, offsets, LETTERS)[0])) for _, data, offsets in slices(texts)])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, toxic, buckets, counts) of (doc_id, toxic, text): the buckets of a text's distinct words."""
     for batch in batches:
         for first, data, offsets in slices(batch.column(2)):
-            words, rows = word_hashes(data, offsets, LETTERS)
-            own = [np.unique(bucket_of(words[a:b]), return_counts=True) for a, b in zip(rows, rows[1:], strict=False)]
+            buckets, of = features(data, offsets)
+            order = np.argsort(of, kind="stable")
+            rows = np.searchsorted(of[order], np.arange(len(offsets)))
+            own = [np.unique(buckets[order[a:b]], return_counts=True) for a, b in zip(rows, rows[1:], strict=False)]
             yield pa.record_batch(
                 [batch.column(0).slice(first, len(own)), batch.column(1).slice(first, len(own)), pa.array([x.astype(np.int32).tobytes() for x, _ in own], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in own], pa.binary())],
                 names=["doc_id", "toxic", "buckets", "counts"],
@@ -162,9 +178,8 @@ def _score(chain: Chain | None):
                 if chain is None:
                     yield pa.record_batch([ids, *[pa.nulls(n, pa.float64())] * len(NAMES)], names=["id", *NAMES])
                     continue
-                words, rows = word_hashes(data, offsets, LETTERS)
-                at = place[bucket_of(words)]
-                doc = np.repeat(np.arange(n), np.diff(rows))
+                buckets, doc = features(data, offsets)
+                at = place[buckets]
                 width = len(chain.buckets)
                 counts = np.bincount(doc[at >= 0] * width + at[at >= 0], minlength=n * width).reshape(n, width)
                 p = chain.predict(counts)
