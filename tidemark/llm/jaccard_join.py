@@ -134,6 +134,21 @@ def _few_bits(bits_a: Column, bits_b: Column, n_a: Column, n_b: Column) -> Colum
     return 7 * differ <= n_a + n_b
 
 
+def _across(held: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes of a tile, in different components, that sizes and bitmaps allow to link.
+
+    Both bounds are conditions of the join itself: pairs that can't link are never made.
+    """
+    words = [f"bits{k}" for k in range(BITS // 64)]
+    signed = classes.select("node", *[F.get("bits", F.lit(k)).alias(w) for k, w in enumerate(words)])
+    tile = held.select("key", "node", "n", "comp").join(signed, "node")
+    left, right = (tile.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "comp", *words)]) for s in "ab")
+    differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words[1:]), F.bit_count(F.col(f"{words[0]}_a").bitwiseXOR(F.col(f"{words[0]}_b"))))
+    allowed = _can_link(F.col("n_a"), F.col("n_b")) & (7 * differ <= F.col("n_a") + F.col("n_b"))
+    met = left.join(right, "key").filter("node_a < node_b and comp_a <> comp_b").filter(allowed)
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Of the distinct pairs (a, b) of classes, those that link. Written to the scratch folder."""
     side = classes.select("node", "n", "bits")
@@ -187,9 +202,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             shares = held.filter(F.col("comp") != end).join(hubs, "key").groupBy(F.col("node").alias("a"), "b").count()
             pairs = shares.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
         else:
-            left, right = (held.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "comp")]) for s in "ab")
-            met = left.join(right, "key").filter("node_a < node_b and comp_a <> comp_b").filter(_can_link(F.col("n_a"), F.col("n_b")))
-            pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+            pairs = _across(held, classes)
         found = _links(materialize(pairs), classes, docs)
         links = found if links is None else links.union(found)
         named = components(links)
