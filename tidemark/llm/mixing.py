@@ -32,6 +32,7 @@ EPS = 1e-9
 LAND = 12
 #: Sources are a setting (each has a weight), so their totals may meet on the driver; up to this many.
 MAX_SOURCES = 1_000_000
+BROADCAST_ROWS = 300_000
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> dict[str | None, float]:
@@ -182,3 +183,22 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def taken_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of docs that the mix takes, with size, target, taken and copies (in place of columns of these names).
+
+    Rows of one id and text become one, with the copies of all.
+    """
+    own = ("size", "target", "taken", "copies")
+    mixed = mix(docs, key, text, source).filter("copies > 0")
+    mixed = mixed.groupBy(F.col(key).alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}hash"), F.col(source).alias(f"{OWN}source")).agg(
+        F.max("size").alias("size"), F.max("target").alias("target"), F.sum("taken").alias("taken"), F.sum("copies").alias("copies"), F.count("*").alias(f"{OWN}rows")
+    )
+    mixed = materialize(mixed)
+    again = not mixed.filter(f"{OWN}rows > 1").isEmpty()
+    near = F.broadcast(mixed) if mixed.count() <= BROADCAST_ROWS else mixed
+    rest = [c for c in docs.columns if c not in own]
+    rows = docs.select(*rest).dropDuplicates([key, text, source]) if again else docs.select(*rest)
+    same = rows[key].eqNullSafe(near[f"{OWN}id"]) & F.xxhash64(rows[text]).eqNullSafe(near[f"{OWN}hash"]) & rows[source].eqNullSafe(near[f"{OWN}source"])
+    return rows.join(near, same).select(*rest, *own)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, jaccard_join, licenses, mixing, quality_rules, toxicity, url_filters
+from tidemark.llm import decontaminate, html_extract, jaccard_join, licenses, line_dedup, lm_scoring, mixing, quality_rules, toxicity, url_filters
 
 
 def queries() -> dict:
@@ -10,9 +10,12 @@ def queries() -> dict:
         "op1_quality_rules": quality_rules.op1_quality_rules,
         "op2_jaccard_join": jaccard_join.op2_jaccard_join,
         "op3_url_filters": url_filters.op3_url_filters,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_license_scan": licenses.op5_license_scan,
         "op6_mixing": mixing.op6_mixing,
+        "op7_lm_scoring": lm_scoring.op7_lm_scoring,
         "op8_decontamination": decontaminate.op8_decontamination,
+        "op9_html_extract": html_extract.op9_html_extract,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
