@@ -70,7 +70,8 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     texts = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("body")).filter(F.col("body").isNotNull())
     counts = (F.col("c.lines") >= MIN_LINES) | (F.col("c.words") >= LONG_LINE)
-    found = chunked(texts, "body").select("id", "text_hash", F.explode(f"{OWN}chunks").alias("c")).filter(counts)
+    # explode() would put a filter on the array's size below the projections, with all their expressions unfolded into it.
+    found = chunked(texts, "body").select("id", "text_hash", F.explode_outer(f"{OWN}chunks").alias("c")).filter(counts)
     found = materialize(found.select("id", "text_hash", F.col("c.first").alias("first"), F.col("c.last").alias("last"), F.col("c.hash").alias("hash")))
     place = F.xxhash64("id", "text_hash", "first")
     again = found.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("hash")
