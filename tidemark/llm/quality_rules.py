@@ -8,7 +8,8 @@ all-must-pass filtering: one stray vote against a text that else looks good does
 
 The votes of a text form one small integer (3 ** number of rules values). The driver sees only the
 counts of these patterns, so what it fits on has a fixed bound (3 ** 10 = 59,049 rows) but covers
-all texts. Features and posterior are column expressions; no Python runs on the executors.
+all texts. The patterns' posteriors go back as a broadcast table of the same bound. Features and
+votes are column expressions; no Python runs on the executors.
 
 Cases: a null or empty text has no words, votes like a short one and fails the base rules; repeated
 rows are judged alike, each on its own; an empty table gives an empty result; other columns pass
@@ -153,18 +154,10 @@ def accuracies(patterns: dict[int, int], model: Model) -> list[float]:
     return [r / c if c else math.nan for r, c in zip(right, cast, strict=True)]
 
 
-def posterior(pattern: Column, model: Model) -> Column:
-    """P(good | votes) as a column expression over the pattern."""
-    share, table = model
-    weights = []
-    for c in range(len(share)):
-        z = F.lit(math.log(share[c]))
-        for k in range(len(table[c])):
-            digit = F.floor(pattern / 3**k) % 3
-            z = z + F.element_at(F.array(*[F.lit(math.log(x)) for x in table[c][k]]), (digit + 1).cast("int"))
-        weights.append(z)
-    top = F.greatest(*weights)
-    return F.exp(weights[0] - top) / sum((F.exp(z - top) for z in weights[1:]), F.exp(weights[0] - top))
+def posteriors(patterns: dict[int, int], model: Model) -> list[tuple[int, float]]:
+    """(pattern, P(good | votes)) of each pattern that occurs."""
+    n_rules = len(model[1][0])
+    return [(p, _member(digits(p, n_rules), *model)[0]) for p in sorted(patterns)]
 
 
 def judge(df: DataFrame, text: str = "text", columns: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
@@ -181,8 +174,10 @@ def judge(df: DataFrame, text: str = "text", columns: list[str] | None = None, t
     counted = {r[0]: r[1] for r in table.groupBy(f"{OWN}votes").count().collect()}  # 3 ** rules rows at most
     n, r = F.col(f"{OWN}n_words"), F.col(f"{OWN}n_repeat_words")
     failed = (n < 50) | (100 * r > 50 * n)
-    good = posterior(F.col(f"{OWN}votes"), fit(counted, [family for family, _, _ in rules().values()]))
-    return table.withColumn(f"{OWN}base_failed", failed).withColumn(f"{OWN}p_good", good).withColumn(f"{OWN}kept", ~failed & (F.col(f"{OWN}p_good") >= threshold))
+    known = posteriors(counted, fit(counted, [family for family, _, _ in rules().values()])) if counted else []
+    good = df.sparkSession.createDataFrame(known, f"{OWN}votes int, {OWN}p_good double")  # as few rows
+    table = table.join(F.broadcast(good), f"{OWN}votes")
+    return table.withColumn(f"{OWN}base_failed", failed).withColumn(f"{OWN}kept", ~failed & (F.col(f"{OWN}p_good") >= threshold))
 
 
 def keep_good(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
