@@ -11,8 +11,8 @@
 
 A large group of near copies would give pairs by the square of its size. But the result asks for
 components, so a class first meets only the one hub (the least class of a tile) that it shares most
-tiles with; a few rounds with other hubs follow. Only tiles that then still hold several components
-are compared exhaustively, and only across components: no link between components is lost.
+tiles with; a few rounds with a few other hubs follow. Only tiles that then still hold several
+components are compared exhaustively, and only across components: no link between them is lost.
 
 Cases: null, empty or wordless texts have no shingles and link with nothing; fewer than five words
 are one shingle; repeated rows are one class and each gets its row; null ids are allowed (they link,
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, read_table
@@ -36,7 +36,7 @@ from tidemark.llm.shingles import mix, shingle_sets, slices, word_hashes
 
 BANDS, ROWS = 50, 4
 BITS = 512
-STAR_ROUNDS = 3
+STAR_ROUNDS, HUBS, EDGES = 4, 4, 4
 #: Up to this many ids are sent to all executors, as a filter for a scan; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
@@ -134,6 +134,22 @@ def _few_bits(bits_a: Column, bits_b: Column, n_a: Column, n_b: Column) -> Colum
     return 7 * differ <= n_a + n_b
 
 
+def _stars(held: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a class a outside of its tiles' lowest component and hubs b inside of it.
+
+    A tile offers HUBS hubs that a hash of the turn chooses; a class takes one of them in each of its
+    tiles, and then meets the EDGES that it met most often. In the first turn: the tiles' lowest class, once.
+    """
+    inside, outside = held.filter("comp = low"), held.filter("comp <> low")
+    if not turn:
+        hubs, edges = inside.groupBy("key").agg(F.array(F.min("node")).alias("hubs")), 1
+    else:
+        hubs, edges = inside.groupBy("key").agg(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(turn * HUBS + k))) for k in range(HUBS)]).alias("hubs")), EDGES
+    met = outside.join(hubs, "key").select(F.col("node").alias("a"), F.get("hubs", F.pmod(F.xxhash64("node", "key"), F.size("hubs")).cast("int")).alias("b"))
+    most = Window.partitionBy("a").orderBy(F.col("count").desc(), "b")
+    return met.groupBy("a", "b").count().withColumn("place", F.row_number().over(most)).filter(F.col("place") <= edges).select("a", "b")
+
+
 def _across(held: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes of a tile, in different components, that sizes and bitmaps allow to link.
 
@@ -196,11 +212,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         if held.isEmpty():
             break
         if turn < STAR_ROUNDS:
-            # In turns the hub is in the tile's lowest or highest component.
-            end = F.col("high") if turn % 2 else F.col("low")
-            hubs = held.filter(F.col("comp") == end).groupBy("key").agg((F.max if turn % 2 else F.min)("node").alias("b"))
-            shares = held.filter(F.col("comp") != end).join(hubs, "key").groupBy(F.col("node").alias("a"), "b").count()
-            pairs = shares.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
+            pairs = _stars(held, turn)
         else:
             pairs = _across(held, classes)
         found = _links(materialize(pairs), classes, docs)
