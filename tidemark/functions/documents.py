@@ -105,7 +105,6 @@ def infer_columns(docs: DataFrame, doc: str = "doc", order: str = "seq") -> Data
 
     One aggregate over the exploded fields, combined before its shuffle.
     """
-    docs.createOrReplaceTempView("__tidemark_docs")
-    fields = docs.sparkSession.sql(f"SELECT `{order}` AS seq, e.key AS name, e.value AS value FROM __tidemark_docs, LATERAL variant_explode(`{doc}`) AS e(pos, key, value)")
-    typed = fields.select("name", "seq", kind_of(F.col("value")).alias("kind")).filter(~F.col("kind").isin("null", "undefined"))
+    fields = docs.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col(doc).outer()))
+    typed = fields.select(F.col("key").alias("name"), F.col(order).alias("seq"), kind_of(F.col("value")).alias("kind")).filter(~F.col("kind").isin("null", "undefined"))
     return typed.groupBy("name").agg(F.min_by("kind", "seq").alias("kind"), F.min("seq").alias("seq"))
