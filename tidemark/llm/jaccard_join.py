@@ -150,6 +150,26 @@ def _stars(held: DataFrame, turn: int) -> DataFrame:
     return met.groupBy("a", "b").count().withColumn("place", F.row_number().over(most)).filter(F.col("place") <= edges).select("a", "b")
 
 
+def _merged(state: DataFrame, found: DataFrame) -> DataFrame:
+    """state (node, comp) after some of the links found: a component joins the least that it links to, and that one's.
+
+    Between rounds it is enough that what has one component is linked; all links count before the
+    comparison across components and at the end.
+    """
+    of = lambda side: state.select(F.col("node").alias(side), F.col("comp").alias(f"comp_{side}"))
+    step = found.join(of("a"), "a").join(of("b"), "b").filter("comp_b < comp_a").groupBy(F.col("comp_a").alias("comp")).agg(F.min("comp_b").alias("to"))
+    for _ in range(2):
+        step = materialize(step)
+        further = step.select(F.col("comp").alias("to"), F.col("to").alias("end"))
+        step = step.join(further, "to", "left").select("comp", F.coalesce("end", "to").alias("to"))
+    return state.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+
+
+def _component_of(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) of all classes: the least node that it is linked with."""
+    return classes.select("node").join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
+
+
 def _across(held: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes of a tile, in different components, that sizes and bitmaps allow to link.
 
@@ -204,7 +224,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
     tiles = materialize(keyed.join(shared, "key").join(classes.select("node", "n"), "node").select("key", "node", "n"))
     state = classes.select("node", F.col("node").alias("comp"))
-    links = None
+    links, exact = None, False  # exact: whether state follows from all links
     for turn in range(STAR_ROUNDS + 1):
         held = tiles.join(state, "node") if turn else tiles.withColumn("comp", F.col("node"))
         spread = held.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key", "low", "high")
@@ -217,8 +237,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             pairs = _across(held, classes)
         found = _links(materialize(pairs), classes, docs)
         links = found if links is None else links.union(found)
-        named = components(links)
-        state = materialize(classes.select("node").join(named, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
+        exact = turn >= STAR_ROUNDS - 1
+        state = materialize(_component_of(classes, links) if exact else _merged(state, found))
+    if links is not None and not exact:
+        state = _component_of(classes, links)
     named = classes.select("node", "h1", "h2", "rep", "copies").join(state, "node")
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "comp").select("h1", "h2", "component_id", "copies")
