@@ -167,7 +167,7 @@ def test_notices_by_edit_distance():
 def test_targets():
     got = mixing.targets({"a": 100, "b": 1000, None: 1000, "c": 50})
     assert sum(got.values()) == pytest.approx(1.5 * 2150)
-    assert got["a"] == 200 and got["c"] <= 100 and list(got) == ["a", "c", "b", None] or got["a"] == 200
+    assert got["a"] == 200
     assert all(got[s] <= 2 * n + 1e-9 for s, n in {"a": 100, "b": 1000, None: 1000, "c": 50}.items())
     assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0}
 

@@ -280,7 +280,7 @@ def labelled_pages(n: int = 160, seed: int = 7) -> list[str]:
                 lambda: "<aside>" + f"<p>{text(OTHER, 3, 40)}</p><ul><li>{link()}</li><li>{link()}</li></ul>" + "</aside>",
                 lambda: f"<form><label>{text(OTHER, 1, 3)}</label><input name=q><button>{text(OTHER, 1, 1)}</button></form>",
                 lambda: named("div", HINTS["menu"], "".join(link() for _ in range(4))),
-                lambda: f"<p>{text(OTHER, 3, 20)}</p>" if False else named("section", HINTS["comment"], f"<p>{text(OTHER, 3, 40)}</p><div>{text(OTHER, 2, 30)}</div>"),
+                lambda: named("section", HINTS["comment"], f"<p>{text(OTHER, 3, 40)}</p><div>{text(OTHER, 2, 30)}</div>"),
             ]
         )()
 

@@ -173,16 +173,18 @@ def _component_of(classes: DataFrame, links: DataFrame) -> DataFrame:
 def _across(held: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes of a tile, in different components, that sizes and bitmaps allow to link.
 
-    Both bounds are conditions of the join itself: pairs that can't link are never made.
+    Both bounds are conditions of the join itself: pairs that can't link are never made. Neither are
+    repeats: of all tiles that two classes share, only that of the least key makes their pair.
     """
     words = [f"bits{k}" for k in range(BITS // 64)]
-    signed = classes.select("node", *[F.get("bits", F.lit(k)).alias(w) for k, w in enumerate(words)])
+    signed = classes.select("node", "keys", *[F.get("bits", F.lit(k)).alias(w) for k, w in enumerate(words)])
     tile = held.select("key", "node", "n", "comp").join(signed, "node")
-    left, right = (tile.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "comp", *words)]) for s in "ab")
+    left, right = (tile.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "comp", "keys", *words)]) for s in "ab")
     differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words[1:]), F.bit_count(F.col(f"{words[0]}_a").bitwiseXOR(F.col(f"{words[0]}_b"))))
     allowed = _can_link(F.col("n_a"), F.col("n_b")) & (7 * differ <= F.col("n_a") + F.col("n_b"))
-    met = left.join(right, "key").filter("node_a < node_b and comp_a <> comp_b").filter(allowed)
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    first = F.col("key") == F.array_min(F.array_intersect("keys_a", "keys_b"))
+    met = left.join(right, "key").filter("node_a < node_b and comp_a <> comp_b").filter(allowed).filter(first)
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
