@@ -71,7 +71,7 @@ def tombstones_for_moved_keys(changes: DataFrame, keys: list[str]) -> DataFrame:
 def apply_batch(state: DataFrame, batch: DataFrame, keys: list[str], mode: str = "ordered") -> DataFrame:
     """The state after one more batch (with op and seq); for streams, where the state is a table."""
     rows = batch.drop("batch_id")
-    values = [c for c in state.columns]
+    values = state.columns
     if mode == "ordered":
         cut = rows.filter("op = 'T'").agg(F.max("seq").alias("__cut"))
         kept = state.join(F.broadcast(cut), F.col("__cut").isNull()).drop("__cut")

@@ -130,7 +130,7 @@ class DocumentPipe:
         """The kind of the first element of the first array with any, by name."""
         if not names:
             return {}
-        first = lambda n: documents.field(F.col("doc"), n, "array<variant>")[0]
+        first = lambda n: F.get(documents.field(F.col("doc"), n, "array<variant>"), F.lit(0))
         row = docs.agg(*[F.min_by(documents.kind_of(first(n)), F.when(F.size(documents.field(F.col("doc"), n, "array<variant>")) > 0, F.col("seq"))).alias(n) for n in names]).first()
         return {n: row[n] for n in names if row[n]}
 
