@@ -211,6 +211,21 @@ def test_mix(spark, documents, group_rows, monkeypatch):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mix_small_source_beside_a_large_one(spark):
+    """A source of one group lands with its dozen documents, whatever the others have."""
+    rng = random.Random(3)
+    rows = [(no, k, max(1, int(rng.lognormvariate(5, 1))), rng.getrandbits(62), 0.4) for no, n in ((0, 20), (1, 100), (2, 500)) for k in range(n)]
+    own = [mixing.OWN + c for c in ("source_no", "row", "size", "order", "p")]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(own, ("int", "long", "long", "long", "double"), strict=True)))
+    got = {(r[0], r[1]): r[4] for r in mixing.balanced(df, 120).select(*own).collect()}
+    assert len(got) == len(rows) and set(got.values()) == {0.0, 1.0}
+    alone = {(r[0], r[1]): r[4] for r in mixing.balanced(df.filter(f"{own[0]} < 2"), 120).select(*own).collect()}
+    assert all(got[k] == p for k, p in alone.items())
+    for no in range(3):
+        expected = sum(0.4 * size for n, _, size, _, _ in rows if n == no)
+        assert abs(sum(size * got[n, k] for n, k, size, _, _ in rows if n == no) - expected) <= 0.03 * expected
+
+
 # LM scoring
 
 

@@ -106,28 +106,30 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return p
 
 
-def _fly(last: bool):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([f"{OWN}order", f"{OWN}row"], kind="stable")
-        size = pdf[f"{OWN}size"].to_numpy()
-        p = flight(pdf[f"{OWN}p"].to_numpy(), size, _uniform(pdf[f"{OWN}order"].to_numpy()), LAND if last else 0)
-        return pdf.assign(**{f"{OWN}p": landing(p, size) if last else p})
-
-    return run
+def _fly(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A group's flight. All groups of a source leave LAND documents more together; a source's only group lands."""
+    pdf = pdf.sort_values([f"{OWN}order", f"{OWN}row"], kind="stable")
+    size, groups = pdf[f"{OWN}size"].to_numpy(), int(pdf[f"{OWN}groups"].iloc[0])
+    p = flight(pdf[f"{OWN}p"].to_numpy(), size, _uniform(pdf[f"{OWN}order"].to_numpy()), -(-LAND // groups))
+    return pdf.assign(**{f"{OWN}p": landing(p, size) if groups == 1 else p})
 
 
 def balanced(docs: DataFrame, group_rows: int = 2_000) -> DataFrame:
-    """docs has OWN + row, source_no, size, order, p. All rows come back with p 0 or 1."""
+    """docs has OWN + row, source_no, size, order, p. All rows come back with p 0 or 1.
+
+    A source lands at the level where it has one group, whatever the others have.
+    """
     counts = {r[0]: r[1] for r in docs.groupBy(f"{OWN}source_no").count().collect()}
     if not counts:
         return docs
-    done, level = None, 0
+    done, level, before = None, 0, {}
     while True:
-        groups = {s: max(1, -(-n // group_rows)) for s, n in counts.items()}
+        # A group can leave more open than it decides (tiny group_rows): then the next level has fewer groups still.
+        groups = {s: min(max(1, -(-n // group_rows)), max(1, before.get(s, n + 1) // 2)) for s, n in counts.items()}
         last = max(groups.values()) == 1
         spread = F.element_at(F.create_map(*[F.lit(x) for s in groups for x in (s, groups[s])]), F.col(f"{OWN}source_no"))
-        dealt = docs.withColumn(f"{OWN}group", F.pmod(F.xxhash64(f"{OWN}order", F.lit(level)), spread.cast("long")))
-        flown = dealt.groupBy(f"{OWN}source_no", f"{OWN}group").applyInPandas(_fly(last), dealt.schema).drop(f"{OWN}group")
+        dealt = docs.withColumn(f"{OWN}groups", spread.cast("long")).withColumn(f"{OWN}group", F.pmod(F.xxhash64(f"{OWN}order", F.lit(level)), F.col(f"{OWN}groups")))
+        flown = dealt.groupBy(f"{OWN}source_no", f"{OWN}group").applyInPandas(_fly, dealt.schema).drop(f"{OWN}group", f"{OWN}groups")
         if last and done is None:
             return flown
         flown = materialize(flown)
@@ -135,7 +137,7 @@ def balanced(docs: DataFrame, group_rows: int = 2_000) -> DataFrame:
         done = flown.filter(shut) if done is None else done.unionByName(flown.filter(shut))
         if last:
             return done
-        docs, level = flown.filter(~shut), level + 1
+        docs, level, before = flown.filter(~shut), level + 1, groups
         counts = {r[0]: r[1] for r in docs.groupBy(f"{OWN}source_no").count().collect()}
         if not counts:
             return done
