@@ -207,6 +207,15 @@ def null_default_rule(spark, d):
     return rows.select("event_id", coerce.coerce(F.col("x"), ReplicaType("Int64", True)).alias("nullable"), coerce.coerce(F.col("x"), ReplicaType("Int64")).alias("filled"))
 
 
+_INT64 = "CASE WHEN regexp_full_match(trim(x), '[+-]?[0-9]+') THEN coalesce(try_cast(trim(x) AS BIGINT), 0) ELSE 0 END"
+
+
+@_query(f"SELECT event_id, CASE WHEN x IS NULL THEN NULL ELSE {_INT64} END AS nullable, coalesce({_INT64}, 0) AS filled FROM ({_TEXTS})")
+def null_default_every_text(spark, d):
+    """null_default_rule over all texts: also fractions, words, empty ones and numbers past Int64."""
+    return _texts(spark, d).select("event_id", coerce.coerce(F.col("x"), ReplicaType("Int64", True)).alias("nullable"), coerce.coerce(F.col("x"), ReplicaType("Int64")).alias("filled"))
+
+
 @_query(
     f"""SELECT event_id, CASE WHEN regexp_full_match(trim(x), '[+-]?[0-9]+') AND try_cast(trim(x) AS HUGEINT) BETWEEN -9223372036854775808 AND 18446744073709551615
     THEN CAST(CAST(trim(x) AS HUGEINT) AS VARCHAR) ELSE '0' END AS n FROM ({_TEXTS})"""
