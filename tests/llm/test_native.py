@@ -195,6 +195,31 @@ def test_line_dedup_past_the_broadcast_bound(spark, documents, monkeypatch):
     assert sorted(line_dedup.clean(documents).collect()) == near
 
 
+@pytest.mark.parametrize("n_lines,n_words", [(3, 18), (5, 12), (6, 12), (8, 12), (20, 12)])
+def test_line_dedup_planted_passages(spark, n_lines, n_words):
+    """All lines of a passage of over 50 words go from the later texts, whatever short lines are around it."""
+    rng = random.Random(n_lines)
+    line = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    rows, expected = [], {}
+    for k in range(30):
+        passage = [line(n_words) for _ in range(n_lines)]
+        passage.insert(2, "")
+        for copy in range(3):
+            before, after = [line(rng.randint(3, 15)) for _ in range(rng.randint(0, 9))], [line(rng.randint(3, 15)) for _ in range(rng.randint(0, 9))]
+            rows.append((3 * k + copy, "\n".join(before + passage + after)))
+            expected[3 * k + copy] = "\n".join(before + after if copy else before + passage + after)
+    got = line_dedup.deduplicate(spark.createDataFrame(rows, DOC)).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == expected
+
+
+def test_line_dedup_repeats_within_a_text(spark):
+    """Equal lines: what overlaps the first occurrence is no repetition."""
+    same, short = "ten words in a line that stands here many times", "\n".join(["a b c d e"] * 10)
+    got = line_dedup.removals(spark.createDataFrame([(0, "\n".join([same] * 12)), (1, short)], DOC)).filter("NOT cut").collect()
+    assert all(r["first"] > 0 for r in got)
+    assert {k for r in got for k in range(r["first"], r["last"] + 1)} == set(range(6, 12))
+
+
 def test_chunks_resist_shifts():
     """Lines put in front move no chunk beyond the first boundary."""
     rng = random.Random(5)

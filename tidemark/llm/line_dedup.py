@@ -6,8 +6,16 @@ LONG_LINE words or more (a paragraph) is a chunk of its own. A boundary depends
 only, so inserted or lost lines elsewhere in a text do not shift it, and a passage gets the same
 chunks in every document.
 
-A chunk counts if it has MIN_LINES lines with words or more, or LONG_LINE words or more. Chunks with
-one hash are counted over all documents. The occurrences of those that repeat (and no others) travel
+A chunk counts if it has MIN_LINES lines with words or more, or LONG_LINE words or more.
+
+Short lines between others may share no chunk, so passages of lines below LONG_LINE words are found by
+windows too, which depend on nothing but their own lines: from each line with words the fewest lines
+with over PASSAGE words, and the fewest such that end there. Each line of such a passage of over
+PASSAGE words that stands twice is in a window inside of it, so all of its lines are found, whatever
+is around it. What overlaps its own first occurrence is no repetition. Below, windows are treated as
+chunks are. Short lines between long ones, fewer than PASSAGE words together, have chunks only.
+
+Chunks with one hash are counted over all documents. The occurrences of those that repeat (and no others) travel
 with their bytes, which are compared with the first occurrence's (least id, text hash, place): what
 is equal is removed, the first occurrence stays.
 
@@ -31,6 +39,7 @@ WINDOW = 2
 BOUNDARY_BITS = 3  # a boundary where r & 3 == 0: four short lines a chunk
 LONG_LINE = 20
 MIN_LINES = 2
+PASSAGE = 50
 BROADCAST_ROWS = 500_000
 
 
@@ -39,7 +48,7 @@ def _n_words(line: Column) -> Column:
 
 
 def chunked(rows: DataFrame, text: str) -> DataFrame:
-    """rows with a column OWN + 'chunks': an array of (first, last, lines, words, hash) of each text's chunks."""
+    """rows with a column OWN + 'chunks': an array of (first, last, lines, words, hash, cut) of each text's chunks, and its windows (cut is false)."""
     p = OWN
     cut = rows.withColumn(f"{p}line", F.split(F.col(text), "\n"))
     line = F.col(f"{p}line")
@@ -53,18 +62,35 @@ def chunked(rows: DataFrame, text: str) -> DataFrame:
     cut = cut.withColumn(f"{p}ends", F.when(line.isNotNull(), ends))
     spans = F.transform(f"{p}ends", lambda last, k: F.struct((F.coalesce(F.get(F.col(f"{p}ends"), k - 1), F.lit(-1)) + 1).alias("first"), last.alias("last")))
 
-    def describe(s: Column) -> Column:
+    cut = cut.withColumn(f"{p}spans", spans)
+
+    # A window has PASSAGE + 1 lines with words at most. Packed: the words so far * 64 + the lines so far; -1 past a long line.
+    cut = cut.withColumn(f"{p}worded", F.filter(F.sequence(F.lit(0), F.size(line) - 1), lambda i: F.get(n, i) > 0))
+    worded = F.col(f"{p}worded")
+    cut = cut.withColumn(f"{p}m", F.transform(worded, lambda i: F.get(n, i).cast("long")))
+    m, full, most = F.col(f"{p}m"), (PASSAGE + 1) * 64, PASSAGE + 1
+    reach = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, x: F.when((a >= full) | (a < 0), a).when(x >= LONG_LINE, -1).otherwise(a + x * 64 + 1))
+    steps = lambda a: F.when(a >= full, a.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    short = lambda k: F.get(m, k) < LONG_LINE
+    ahead = F.transform(worded, lambda i, k: F.struct(i.alias("first"), F.when(short(k), F.get(worded, k - 1 + steps(reach(F.slice(m, k + 1, most))))).alias("last")))
+    before = lambda k: F.reverse(F.slice(m, F.greatest(k + 2 - most, F.lit(1)), F.least(k + 1, F.lit(most))))
+    behind = F.transform(worded, lambda i, k: F.struct(F.when(short(k), F.get(worded, k + 1 - steps(reach(before(k))))).alias("first"), i.alias("last")))
+    windows = F.filter(F.concat(ahead, behind), lambda s: s["first"].isNotNull() & s["last"].isNotNull())
+    cut = cut.withColumn(f"{p}windows", F.array_except(windows, F.col(f"{p}spans")))
+
+    def describe(s: Column, of_cut: bool) -> Column:
         own = F.slice(n, s["first"] + 1, s["last"] - s["first"] + 1)
         worded = F.aggregate(own, F.lit(0), lambda a, x: a + F.when(x > 0, 1).otherwise(0))
         counted = F.aggregate(own, F.lit(0), lambda a, x: a + x)
         digest = F.xxhash64(F.slice(h, s["first"] + 1, s["last"] - s["first"] + 1))
-        return F.struct(s["first"].alias("first"), s["last"].alias("last"), worded.alias("lines"), counted.alias("words"), digest.alias("hash"))
+        return F.struct(s["first"].alias("first"), s["last"].alias("last"), worded.alias("lines"), counted.alias("words"), digest.alias("hash"), F.lit(of_cut).alias("cut"))
 
-    return cut.withColumn(f"{p}chunks", F.transform(spans, describe)).drop(f"{p}n", f"{p}h", f"{p}ends")
+    every = F.concat(F.transform(f"{p}spans", lambda s: describe(s, True)), F.transform(f"{p}windows", lambda s: describe(s, False)))
+    return cut.withColumn(f"{p}chunks", every).drop(*[p + c for c in ("n", "h", "ends", "spans", "worded", "m", "windows")])
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text_hash, first, last, hash): lines first to last (from 0) of a document that repeat an earlier chunk.
+    """(id, text_hash, first, last, hash, cut): lines first to last (from 0) of a document that repeat an earlier chunk or window.
 
     id and text_hash, the xxhash64 of the text, name the document.
     """
@@ -72,26 +98,27 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     counts = (F.col("c.lines") >= MIN_LINES) | (F.col("c.words") >= LONG_LINE)
     # explode() would put a filter on the array's size below the projections, with all their expressions unfolded into it.
     found = chunked(texts, "body").select("id", "text_hash", F.explode_outer(f"{OWN}chunks").alias("c")).filter(counts)
-    found = materialize(found.select("id", "text_hash", F.col("c.first").alias("first"), F.col("c.last").alias("last"), F.col("c.hash").alias("hash")))
+    found = materialize(found.select("id", "text_hash", F.col("c.first").alias("first"), F.col("c.last").alias("last"), F.col("c.hash").alias("hash"), F.col("c.cut").alias("cut")))
     place = F.xxhash64("id", "text_hash", "first")
     again = found.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("hash")
     again = materialize(found.join(again, "hash").distinct())
-    spans = again.groupBy(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash")).agg(F.collect_list(F.struct("first", "last", "hash")).alias("spans"))
+    spans = again.groupBy(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash")).agg(F.collect_list(F.struct("first", "last", "hash", "cut")).alias("spans"))
     spans = _small(spans, again.count())
     same = texts["id"].eqNullSafe(spans["its_id"]) & (texts["text_hash"] == spans["its_hash"])
     own = texts.join(spans, same).dropDuplicates(["id", "text_hash"]) if _repeats(found) else texts.join(spans, same)
     own = own.withColumn("line", F.split("body", "\n")).select("id", "text_hash", "line", F.explode("spans").alias("s"))
     bytes_of = F.array_join(F.slice("line", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + 1), "\n")
-    own = materialize(own.select("id", "text_hash", "s.first", "s.last", "s.hash", bytes_of.alias("chunk")))
+    own = materialize(own.select("id", "text_hash", "s.first", "s.last", "s.hash", "s.cut", bytes_of.alias("chunk")))
     stays = own.groupBy("hash").agg(F.min(F.struct("id", "text_hash", "first")).alias("stays"))
     named = F.struct("id", "text_hash", "first")
-    kept = own.join(stays, "hash").filter(named.eqNullSafe(F.col("stays"))).select("hash", F.col("chunk").alias("kept_chunk"), "stays")
-    return own.join(kept, "hash").filter((F.col("chunk") == F.col("kept_chunk")) & ~named.eqNullSafe(F.col("stays"))).select("id", "text_hash", "first", "last", "hash")
+    kept = own.join(stays, "hash").filter(named.eqNullSafe(F.col("stays"))).select("hash", F.col("chunk").alias("kept_chunk"), "stays", F.col("last").alias("stays_to"))
+    overlaps = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("text_hash") == F.col("stays.text_hash")) & (F.col("first") <= F.col("stays_to"))
+    return own.join(kept, "hash").filter((F.col("chunk") == F.col("kept_chunk")) & ~overlaps).select("id", "text_hash", "first", "last", "hash", "cut")
 
 
 def _repeats(found: DataFrame) -> bool:
     """Whether there are equal rows (of one id and text)."""
-    return not found.groupBy("id", "text_hash", "first").count().filter("count > 1").isEmpty()
+    return not found.groupBy("id", "text_hash", "first", "last").count().filter("count > 1").isEmpty()
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -102,7 +129,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """docs with its text cleaned and the columns OWN + 'lines', OWN + 'removed' (numbers of lines), OWN + 'chunks' (removed)."""
     gone = materialize(removals(docs, key, text))
     numbers = F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last"))))
-    gone_of = gone.groupBy(F.col("id").alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}hash")).agg(numbers.alias(f"{OWN}gone"), F.count("*").alias(f"{OWN}chunks"))
+    gone_of = gone.groupBy(F.col("id").alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}hash")).agg(numbers.alias(f"{OWN}gone"), F.count_if("cut").alias(f"{OWN}chunks"))
     gone_of = _small(gone_of, gone.count())
     joined = docs.join(gone_of, docs[key].eqNullSafe(gone_of[f"{OWN}id"]) & (F.xxhash64(docs[text]) == gone_of[f"{OWN}hash"]), "left")
     joined = joined.withColumn(f"{OWN}line", F.split(F.col(text), "\n"))
