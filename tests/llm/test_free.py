@@ -289,6 +289,16 @@ def test_extract():
     assert len(html_extract.blocks_of("<div>" * 3000 + "deep")) == 1
 
 
+def test_extract_without_head_end_and_body():
+    texts = lambda page: [text for _, text, _, _ in html_extract.blocks_of(page)]
+    assert texts("<head><title>T</title><meta charset=x><article><p>One.</p><p>Two.</p></article>") == ["One.", "Two."]
+    assert texts("<html><head><title>T</title><b>Bold</b> text.") == ["Bold text."]
+    assert texts("<head><title>T</title>Text.") == ["Text."]
+    assert texts("<head><noscript><link href=x></noscript><style>p{}</style></head><body><p>One.") == ["One."]
+    page = "<body><article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p><noscript><p>No script.</p></noscript><object><p>An object.</p></object><video>A film.</video><audio>A song.</audio></article>"
+    assert texts(page) == ["Let x=2 be.", "No script.", "An object.", "A film.", "A song."]
+
+
 def test_extract_held_out():
     """Pages of another seed: the model has not seen them."""
     model = html_extract.default_model()

@@ -33,8 +33,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-SILENT = frozenset("script style template noscript head title svg math select textarea iframe object audio video canvas".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img"
+    " math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mtable mtr mtd mfenced semantics".split()
+)
+SILENT = frozenset("script style template head title svg select textarea iframe canvas".split())
+#: What may stand in a head; its end tag and <body> may be left out.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 #: Open tags that a new block element closes.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: A block element inside these does not close what is outside of them.
@@ -63,7 +68,13 @@ class Blocks(HTMLParser):
             self.blocks.append((self.path, text, self.linked, self.path[-1].split(".")[0].split("#")[0] if self.path else ""))
         self.parts, self.linked, self.begun = [], 0, False
 
+    def leave_head(self) -> None:
+        if self.stack and self.stack[-1][0] == "head":
+            self.stack.pop()
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD:
+            self.leave_head()
         if tag == "br":
             self.parts.append(" ")
             return
@@ -103,6 +114,8 @@ class Blocks(HTMLParser):
                 break
 
     def handle_data(self, data):
+        if data.strip(" \t\n\f\r"):
+            self.leave_head()
         if any(t in SILENT for t, _ in self.stack):
             return
         if not self.begun and data.strip(" \t\n\f\r"):
