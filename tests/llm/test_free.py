@@ -110,20 +110,57 @@ def test_jaccard_join(spark, documents):
     assert jaccard_join.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_jaccard_exhaustive_part(spark, monkeypatch):
-    """Without hubs, the comparison across components alone finds the same."""
-    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", 0)
-    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", -1)
-    base = [f"b{k}" for k in range(100)]
+@pytest.mark.parametrize("setting", [{"STAR_ROUNDS": 0}, {"HEAVY": 3, "CELL": 64, "PACK": 500}, {"FAN": 2, "EDGES": 1}])
+def test_jaccard_exact(spark, monkeypatch, setting):
+    """Sets of all sizes from 1 at about the threshold; also without hubs, in many cells, with dealt hubs."""
+    for name, value in setting.items():
+        monkeypatch.setattr(jaccard_join, name, value)
     rng = random.Random(9)
     docs = []
-    for k in range(40):
-        own = list(base)
-        for j in rng.sample(range(100), rng.randint(0, 5)):
-            own[j] = f"n{rng.randint(0, 999)}"
-        docs.append((k, " ".join(own)))
-    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(spark.createDataFrame(docs, DOC)).collect())
-    assert got == joined(docs)
+    for size in [*range(5, 24), 40, 100, 300]:
+        base = [f"b{size}_{k}" for k in range(size)]
+        for _ in range(14 if size == 100 else 6):
+            own = base[rng.randint(0, size // 8) : size - rng.randint(0, size // 8)]
+            for j in rng.sample(range(len(own)), rng.randint(0, 1 + size // 40)):
+                own[j] = f"n{rng.randint(0, 9)}"
+            docs.append((len(docs), " ".join(own)))
+    found = jaccard_join.near_duplicates(spark.createDataFrame(docs, DOC).repartition(5))
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
+    expected = joined(docs)
+    assert got == expected
+    assert 20 < len({c for _, _, c in expected}) < len(docs) - 20
+
+
+def test_jaccard_pairs(spark, monkeypatch):
+    """The tiles, ranks, bands and bitmaps lose no link: pairs of random subsets, each against brute force."""
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(np.arange(1, 41, dtype=np.uint64) << np.uint64(50), rng.integers(1, 41), replace=False)) for _ in range(120)]
+    rows = np.cumsum([0] + [len(x) for x in sets])
+    keys, row, rank, _ = jaccard_join.prefixes(np.concatenate(sets), rows, (np.concatenate(sets) >> np.uint64(53)).astype(np.int64))
+    places = [dict(zip(keys[row == k].tolist(), rank[row == k].tolist(), strict=True)) for k in range(len(sets))]
+    n_links = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            common, n_a, n_b = jaccard_join.overlap(sets[a], sets[b]), len(sets[a]), len(sets[b])
+            if 100 * common >= 75 * (n_a + n_b - common):
+                n_links += 1
+                least = -(-3 * (n_a + n_b) // 7)
+                assert any(places[a][x] <= n_a - least + 1 and places[b][x] <= n_b - least + 1 for x in places[a].keys() & places[b].keys())
+                assert 7 * jaccard_join.differing(jaccard_join.signature(sets[a]), jaccard_join.signature(sets[b])) <= n_a + n_b
+            assert jaccard_join.differing(jaccard_join.signature(sets[a]), jaccard_join.signature(sets[b])) <= n_a + n_b - 2 * common
+    assert n_links > 5
+
+
+def test_one_of_each_odd_ids(spark):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    rows = [(2, a), (5, b), (5, a), (5, a), (None, a + " x"), (None, b), (7, None), (7, None), (None, ""), (9, "one two"), (9, "one two"), (None, "other words here"), (None, "Other words here")]
+    df = spark.createDataFrame(rows, DOC).selectExpr("*", "1 AS stays", "2 AS node")
+    kept = jaccard_join.one_of_each(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    others = [x for x in got if x[0] is None and x[1]]
+    assert len(others) == 1 and others[0][1].lower() == "other words here"
+    assert [x for x in got if x not in others] == sorted([(2, a), (5, b), (7, None), (7, None), (None, ""), (9, "one two")], key=repr)
 
 
 # Licenses

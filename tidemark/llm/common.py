@@ -17,27 +17,68 @@ OWN = "__tm_"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir. Where it is unset: a temporary one on one machine, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        context = spark.sparkContext
+        known = context._jsc.sc().getCheckpointDir()
         if known.isDefined():
             root = known.get()
-        else:
+        elif context.master.startswith("local"):
             root = tempfile.mkdtemp(prefix="tidemark-")
-            spark.sparkContext.setCheckpointDir(root)
+            context.setCheckpointDir(root)
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return root.rstrip("/")
 
 
+#: The scratch tables that are there, oldest first, by application.
+_TABLES: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as a Parquet table in the shared scratch folder and read it again.
 
     This cuts the lineage and survives lost executors: the folder is shared, not an executor's own.
+    The table stays until `free` or `release` drops it.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tidemark/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder, wherever Spark keeps it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(where, True)
+
+
+def free(*tables: DataFrame) -> None:
+    """Drop tables that `materialize` returned and that nothing reads any more."""
+    for df in tables:
+        own = _TABLES.get(df.sparkSession.sparkContext.applicationId, [])
+        if df._scratch_path in own:
+            own.remove(df._scratch_path)
+            drop_path(df.sparkSession, df._scratch_path)
+
+
+def mark(spark: SparkSession) -> set[str]:
+    """The scratch tables that are there now."""
+    return set(_TABLES.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, keep: set[str] = frozenset(), needed: DataFrame | None = None) -> None:
+    """Drop all scratch tables but those in keep and those that the DataFrame needed still reads."""
+    own = _TABLES.get(spark.sparkContext.applicationId, [])
+    if any(x not in keep for x in own):
+        read = needed.inputFiles() if needed is not None else []
+        for path in [x for x in own if x not in keep and not any(f"/tidemark/{x.rsplit('/', 1)[1]}/" in f for f in read)]:
+            own.remove(path)
+            drop_path(spark, path)
 
 
 def words(text: Column) -> Column:

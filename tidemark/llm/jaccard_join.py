@@ -1,27 +1,33 @@
-"""N-gram Jaccard self-join: documents whose 5-word shingle sets overlap by 75 % or more.
-
-1. One pass over the texts gives each document's set size, a 128-bit digest of its set, MinHash band
-   keys and a hashed bitmap signature (512 parity bits). Documents of one set are one class.
-2. Classes that share a band key form a tile. With BANDS keys of ROWS minima each, two sets at the
-   threshold share none with probability (1 - 0.75 ** 4) ** 50 < 6e-9; nothing else is left to
-   chance. A tile's classes only meet within size bands: sizes a < b may link if 4a >= 3b.
-3. The bitmaps bound the overlap from above: |A ^ B| is at least the number of differing bits, so a
-   pair with 7 * bits > |A| + |B| can't link.
-4. What passes is verified by intersecting the exact sorted shingle arrays.
-
-A large group of near copies would give pairs by the square of its size. But the result asks for
-components, so a class first meets only the one hub (the least class of a tile) that it shares most
-tiles with; a few rounds with a few other hubs follow. Only tiles that then still hold several
-components are compared exhaustively, and only across components: no link between them is lost.
+"""N-gram Jaccard self-join: documents whose 5-word shingle sets overlap by 75 % or more. Exact.
+
+1. Counters. One pass over the texts gives each document's set size and a 64-bit digest of its set
+   (documents of one set are one class, a node), and counts all shingles in a table of 2 ** COUNTERS
+   hashed counters, of a fixed size. It is no filter: it only orders shingles from rare to frequent
+   (then by hash), the same for all documents.
+2. Tiles. Sets of sizes a and b link only if they share o = ceil(3 (a + b) / 7) shingles; so the
+   first one that they share, in that order, has rank a - o + 1 at most in the one and b - o + 1 in
+   the other. A class is filed under its a - ceil(0.75 a) + 1 rarest shingles, with their ranks.
+   Shingles of two classes or more are tiles. The postings travel once, packed, in sorted cells.
+   What makes near copies differ is rare and comes first, so classes that differ too much share no
+   tile, or not at ranks that allow a link.
+3. Stars. In each tile the classes meet one hub: first the class with the largest tiles (of a group
+   of near copies, the original), then one chosen by hash, and a class keeps the EDGES hubs that it
+   met most often. So a large group makes links by its size, not by its square.
+4. Bands. Tiles that still hold several components are split by bands of set sizes, and all pairs
+   across components that sizes and ranks allow are compared: no link between them is lost.
+5. Every pair is first bounded by hashed bitmap signatures (parity bits, at least twice as many as
+   shingles): |A ^ B| is at least the number of differing bits, so a pair with 7 * bits > |A| + |B|
+   can't link. What passes is verified by intersecting the exact sorted shingle arrays.
 
 Cases: null, empty or wordless texts have no shingles and link with nothing; fewer than five words
 are one shingle; repeated rows are one class and each gets its row; null ids are allowed (they link,
-but never name a component that has an id); an empty table gives an empty result; other columns are
-not carried.
+but never name a component that has an id); one id with several texts is several documents; an empty
+table gives an empty result; other columns are not carried.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,79 +36,191 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, read_table
+from tidemark.llm.common import OWN, free, materialize, read_table
 from tidemark.llm.components import components
 from tidemark.llm.shingles import mix, shingle_sets, slices, word_hashes
 
-BANDS, ROWS = 50, 4
-BITS = 512
-STAR_ROUNDS, HUBS, EDGES = 4, 6, 6
-#: Up to this many ids are sent to all executors, as a filter for a scan; more are joined by shuffle.
-BROADCAST_IDS = 500_000
+#: Two to this power hashed counters of 4 bytes: 16 MB, whatever the input.
+COUNTERS = 22
+CHUNK = 1 << 16
+#: Postings in a cell, and in what a task packs at once.
+CELL, PACK = 1 << 20, 1 << 20
+#: A shingle counted so many times more often than the median counter is dealt over several cells.
+HEAVY = 5_000
+STAR_ROUNDS, EDGES = 2, 4
+#: So many pairs of one hub share a copy of its array.
+FAN = 4_096
+#: Two to this power bits of a filter of wanted ids: 8 MB, whatever the input.
+WANTED = 26
+#: Sizes in a band differ by a third at most.
+BAND = 4 / 3
 
-_RANDOM = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
-_A = (_RANDOM[: BANDS * ROWS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_B = (_RANDOM[BANDS * ROWS :] >> np.uint64(32)).astype(np.uint32)
-_NUMBERS = pa.list_(pa.int64())
 
+def node_of(own: np.ndarray) -> int:
+    """The digest of a set."""
+    return xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
 
-def _digest(own: np.ndarray) -> tuple[int, int]:
-    return tuple(np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), ">i8").tolist())
 
+def prefix_size(n: np.ndarray) -> np.ndarray:
+    """How many of a set's rarest shingles every set that links with it must meet one of."""
+    return n - (3 * n + 3) // 4 + 1
 
-def _numbers(table: np.ndarray) -> pa.ListArray:
-    """A list column of the rows of a 64-bit table."""
-    rows, width = table.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(np.ascontiguousarray(table).view(np.int64).ravel()))
 
-
-def band_keys(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Rows x BANDS keys of the sets, none of them empty."""
-    low = (sets >> np.uint64(32)).astype(np.uint32)
-    minima = np.empty((len(starts), BANDS * ROWS), np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(BANDS * ROWS):
-            minima[:, k] = np.minimum.reduceat(low * _A[k] + _B[k], starts)
-        keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(starts), BANDS))
-        for k in range(ROWS):
-            keys = mix(keys) + minima[:, k::ROWS] * np.uint64(0x9E3779B97F4A7C15)
-    return mix(keys)
+def _add(total: dict[int, np.ndarray], chunk: int, counts: np.ndarray) -> None:
+    total[chunk] = np.minimum(total[chunk].astype(np.int64) + counts, 2**32 - 1).astype(np.uint32) if chunk in total else counts
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, h1, h2, keys, bits) of (doc_id, text)."""
+def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text_hash, n, node) of (doc_id, text_hash, text); then (chunk, body) of the counters."""
+    table = np.zeros(1 << COUNTERS, np.uint32)
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        for first, data, offsets in slices(texts):
+        for first, data, offsets in slices(batch.column(2)):
             sets, rows = shingle_sets(*word_hashes(data, offsets))
             n = np.diff(rows)
-            full = np.flatnonzero(n)
-            digests = np.zeros((len(n), 2), np.int64)
-            bits = np.zeros((len(n), BITS // 64), np.uint64)
-            for r in full.tolist():
-                own = sets[rows[r] : rows[r + 1]]
-                digests[r] = _digest(own)
-                odd = np.bincount((own & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
-                bits[r] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
-            keys = np.zeros((len(n), BANDS), np.uint64)
-            if len(full):
-                keys[full] = band_keys(sets, rows[full])
-            yield pa.record_batch(
-                [ids.slice(first, len(n)).cast(pa.int64()), pa.array(n), pa.array(digests[:, 0]), pa.array(digests[:, 1]), _numbers(keys), _numbers(bits)],
-                names=["doc_id", "n", "h1", "h2", "keys", "bits"],
-            )
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, own) of (text): the sorted shingle array as bytes."""
+            np.add.at(table, (sets >> np.uint64(64 - COUNTERS)).astype(np.int64), np.uint32(1))
+            nodes = [node_of(sets[a:b]) if b > a else None for a, b in zip(rows.tolist(), rows[1:].tolist(), strict=False)]
+            none = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
+            yield pa.record_batch([batch.column(0).slice(first, len(n)), batch.column(1).slice(first, len(n)), pa.array(n), pa.array(nodes, pa.int64()), *none], names=_SIZED)
+    for at in range(0, 1 << COUNTERS, CHUNK):
+        if (part := table[at : at + CHUNK]).any():
+            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.array([at // CHUNK], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=_SIZED)
+
+
+_SIZED = ["doc_id", "text_hash", "n", "node", "chunk", "body"]
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up the chunks as they stream by: memory for one copy of the counters, however many come."""
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for _, data, offsets in slices(batch.column(0)):
-            sets, rows = shingle_sets(*word_hashes(data, offsets))
-            own = [sets[rows[r] : rows[r + 1]] for r in range(len(rows) - 1)]
-            digests = [_digest(x) for x in own]
-            yield pa.record_batch(
-                [pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["h1", "h2", "own"]
-            )
+        for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            _add(total, chunk, np.frombuffer(zlib.decompress(body.as_buffer()), np.uint32))
+    for chunk, counts in total.items():
+        yield pa.record_batch([pa.array([chunk], pa.int32()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], names=["chunk", "body"])
+
+
+def prefixes(sets: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, row, rank from 1, counter) of the rarest shingles of all sets. counts: the counter of each."""
+    n = np.diff(rows)
+    row = np.repeat(np.arange(len(n)), n)
+    order = np.argsort((row << 32) | counts, kind="stable")  # by hash among equals, as the sets are sorted
+    rank = np.arange(len(sets)) - rows[:-1][row] + 1
+    near = rank <= prefix_size(n)[row]
+    order = order[near]
+    return sets[order], row[near], rank[near], counts[order]
+
+
+def _packed(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, ranks: np.ndarray, fans: np.ndarray, cells: int) -> Iterator[pa.RecordBatch]:
+    with np.errstate(over="ignore"):
+        route = np.where(fans > 1, mix(keys + mix(nodes) % fans.astype(np.uint64) + np.uint64(1)), keys)
+    cell = ((route >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int32)
+    order = np.lexsort((keys, cell))
+    cell = cell[order]
+    cuts = np.r_[np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell)]
+    columns = [keys[order], nodes[order], sizes[order].astype(np.int32), np.where(fans > 1, -ranks, ranks)[order].astype(np.int32)]
+    bodies = [pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in columns]
+    yield pa.record_batch([pa.array(cell[cuts[:-1]]), *bodies], names=["cell", "keys", "nodes", "sizes", "ranks"])
+
+
+def _postings(table, middle: int, cells: int):
+    """Postings of all classes, packed by cell. A task files a class once, however many copies it meets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, seen, held, size = table.value, set(), [], 0
+        for batch in batches:
+            for _, data, offsets in slices(batch.column(0)):
+                sets, rows = shingle_sets(*word_hashes(data, offsets))
+                nodes = np.array([node_of(sets[a:b]) for a, b in zip(rows.tolist(), rows[1:].tolist(), strict=False)], np.int64)
+                keys, row, rank, counts = prefixes(sets, rows, counters[(sets >> np.uint64(64 - COUNTERS)).astype(np.int64)].astype(np.int64))
+                fresh = np.zeros(len(nodes), bool)
+                for k, x in enumerate(nodes.tolist()):
+                    if x not in seen:
+                        seen.add(x)
+                        fresh[k] = True
+                new = fresh[row]
+                row = row[new]
+                fans = np.maximum(1, -(-(counts[new] - middle) // HEAVY))
+                held.append((keys[new], nodes[row].view(np.uint64), np.diff(rows)[row], rank[new], fans))
+                size += len(row)
+                if size >= PACK:
+                    yield from _packed(*(np.concatenate(x) for x in zip(*held, strict=True)), cells)
+                    held, size = [], 0
+        if size:
+            yield from _packed(*(np.concatenate(x) for x in zip(*held, strict=True)), cells)
+
+    return run
+
+
+def _tiles(table: pa.Table) -> pa.Table:
+    """(key, node, n, place) of a cell's postings whose key has several nodes, or is heavy; each once."""
+    whole = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    keys, nodes, sizes, ranks = whole("keys", np.uint64), whole("nodes", np.int64), whole("sizes", np.int32), whole("ranks", np.int32)
+    order = np.lexsort((nodes, keys))
+    keys, nodes, sizes, ranks = keys[order], nodes[order], sizes[order], ranks[order]
+    same = keys[1:] == keys[:-1]
+    once = np.r_[True, ~(same & (nodes[1:] == nodes[:-1]))]
+    keys, nodes, sizes, ranks = keys[once], nodes[once], sizes[once], ranks[once]
+    same = keys[1:] == keys[:-1]
+    keep = np.r_[same, False] | np.r_[False, same] | (ranks < 0)
+    return pa.table({"key": keys[keep].view(np.int64), "node": nodes[keep], "n": sizes[keep].astype(np.int64), "place": np.abs(ranks[keep]).astype(np.int64)})
+
+
+def signature(own: np.ndarray) -> bytes:
+    """Parity bits of a set: twice as many as shingles at least, a power of two."""
+    width = max(256, 1 << (2 * len(own) - 1).bit_length())
+    odd = np.bincount((own & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """The number of differing parity bits; the longer signature is folded to the length of the shorter."""
+    if len(a) < len(b):
+        a, b = b, a
+    x, width = int.from_bytes(a, "little"), 8 * len(a)
+    while width > 8 * len(b):
+        width //= 2
+        x = (x >> width) ^ (x & ((1 << width) - 1))
+    return (x ^ int.from_bytes(b, "little")).bit_count()
+
+
+def _wanted_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of a bitmap of hashed ids."""
+    bits = np.zeros(1 << (WANTED - 3), np.uint8)
+    for batch in batches:
+        at = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - WANTED)).astype(np.int64)
+        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    for k in range(0, len(bits), CHUNK):
+        if bits[k : k + CHUNK].any():
+            yield pa.record_batch([pa.array([k // CHUNK], pa.int32()), pa.array([zlib.compress(bits[k : k + CHUNK].tobytes(), 1)], pa.binary())], names=["chunk", "body"])
+
+
+def _joined_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            own = np.frombuffer(zlib.decompress(body.as_buffer()), np.uint8)
+            total[chunk] = total[chunk] | own if chunk in total else own
+    for chunk, own in total.items():
+        yield pa.record_batch([pa.array([chunk], pa.int32()), pa.array([zlib.compress(own.tobytes(), 1)], pa.binary())], names=["chunk", "body"])
+
+
+def _sets(wanted):
+    """(node, n, bits, own) of (id hash, text): of all wanted documents, and of a few more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        for batch in batches:
+            at = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - WANTED)).astype(np.int64)
+            texts = batch.column(1).filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            for _, data, offsets in slices(texts):
+                sets, rows = shingle_sets(*word_hashes(data, offsets))
+                own = [sets[a:b] for a, b in zip(rows.tolist(), rows[1:].tolist(), strict=False) if b > a]
+                yield pa.record_batch(
+                    [pa.array([node_of(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array([signature(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())],
+                    names=["node", "n", "bits", "own"],
+                )
+
+    return run
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -111,6 +229,15 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The (a, b) of (a, b, bits_a, bits_b, n_a, n_b) that the bitmaps allow to link."""
+    for batch in batches:
+        a, b, bits_a, bits_b, n_a, n_b = (batch.column(k) for k in range(6))
+        sizes = (n_a.to_numpy() + n_b.to_numpy()).tolist()
+        keep = pa.array([7 * differing(x.as_py(), y.as_py()) <= n for x, y, n in zip(bits_a, bits_b, sizes, strict=True)], pa.bool_())
+        yield pa.record_batch([a.filter(keep), b.filter(keep)], names=["a", "b"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The (a, b) of (a, b, own_a, own_b) that link."""
     for batch in batches:
@@ -124,138 +251,181 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
-def _can_link(n_a: Column, n_b: Column) -> Column:
-    return (4 * F.least(n_a, n_b) >= 3 * F.greatest(n_a, n_b))
-
-
-def _few_bits(bits_a: Column, bits_b: Column, n_a: Column, n_b: Column) -> Column:
-    """Whether the bitmaps allow a link."""
-    differ = F.aggregate(F.zip_with(bits_a, bits_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return 7 * differ <= n_a + n_b
+def can_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
+    """Whether sizes and the ranks of a shared shingle allow that it is the first shared one of a link."""
+    least = F.ceil(3 * (n_a + n_b) / 7)
+    return (4 * F.least(n_a, n_b) >= 3 * F.greatest(n_a, n_b)) & (place_a <= n_a - least + 1) & (place_b <= n_b - least + 1)
 
 
 def _stars(held: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of a class a outside of its tiles' lowest component and hubs b inside of it.
-
-    A tile offers HUBS hubs that a hash of the turn chooses; a class takes one of them in each of its
-    tiles, and then meets the EDGES that it met most often. In the first turn: the tiles' lowest class, once.
-    """
-    inside, outside = held.filter("comp = low"), held.filter("comp <> low")
-    if not turn:
-        hubs, edges = inside.groupBy("key").agg(F.array(F.min("node")).alias("hubs")), 1
-    else:
-        hubs, edges = inside.groupBy("key").agg(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(turn * HUBS + k))) for k in range(HUBS)]).alias("hubs")), EDGES
-    met = outside.join(hubs, "key").select(F.col("node").alias("a"), F.get("hubs", F.pmod(F.xxhash64("node", "key"), F.size("hubs")).cast("int")).alias("b"))
+    """Pairs (a, b) of classes a and their tiles' hubs b, which are in another component: EDGES for a class at most."""
+    first = F.struct("s", "node", "n", "place", "comp")
+    hub = F.min(first) if not turn else F.min_by(first, F.xxhash64("node", F.lit(turn)))
+    hubs = held.groupBy("key").agg(hub.alias("h"))
+    meets = (F.col("comp") != F.col("h.comp")) & can_link(F.col("n"), F.col("place"), F.col("h.n"), F.col("h.place"))
+    met = held.join(hubs, "key").filter(meets).groupBy(F.col("node").alias("a"), F.col("h.node").alias("b")).count()
     most = Window.partitionBy("a").orderBy(F.col("count").desc(), "b")
-    return met.groupBy("a", "b").count().withColumn("place", F.row_number().over(most)).filter(F.col("place") <= edges).select("a", "b")
+    return met.withColumn("nth", F.row_number().over(most)).filter(F.col("nth") <= EDGES).select("a", "b")
 
 
-def _merged(state: DataFrame, found: DataFrame) -> DataFrame:
-    """state (node, comp) after some of the links found: a component joins the least that it links to, and that one's.
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n) / float(np.log(BAND))).cast("int")
 
-    Between rounds it is enough that what has one component is linked; all links count before the
-    comparison across components and at the end.
-    """
-    of = lambda side: state.select(F.col("node").alias(side), F.col("comp").alias(f"comp_{side}"))
-    step = found.join(of("a"), "a").join(of("b"), "b").filter("comp_b < comp_a").groupBy(F.col("comp_a").alias("comp")).agg(F.min("comp_b").alias("to"))
-    for _ in range(2):
-        step = materialize(step)
-        further = step.select(F.col("comp").alias("to"), F.col("to").alias("end"))
-        step = step.join(further, "to", "left").select("comp", F.coalesce("end", "to").alias("to"))
-    return state.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
 
+def _across(held: DataFrame) -> DataFrame:
+    """All pairs (a, b) of a tile's classes in different components that sizes and ranks allow to link.
 
-def _component_of(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, comp) of all classes: the least node that it is linked with."""
-    return classes.select("node").join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
+    The larger class, b, visits the bands of sizes that its rank leaves to the smaller: its own or the one below.
+    """
+    n, place = F.col("n"), F.col("place")
+    smaller = held.filter(place <= n - F.ceil(6 * n / 7) + 1).select("key", _band(n).alias("band"), *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "comp")])
+    most = F.least(n, F.floor(7 * (n - place + 1) / 3).cast("long") - n)
+    visits = held.withColumn("most", most).filter("4 * most >= 3 * n").withColumn("band", F.explode(F.sequence(_band(F.ceil(3 * n / 4)), _band(F.col("most")))))
+    visits = visits.select("key", "band", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "comp")])
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
+    allowed = ordered & (F.col("comp_a") != F.col("comp_b")) & can_link(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"))
+    return smaller.join(visits, ["key", "band"]).filter(allowed).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _beside(pairs: DataFrame, sets: DataFrame, side: str, heavy: DataFrame, *columns: str) -> DataFrame:
+    """pairs with the columns of the sets of one side. A hub of many pairs comes in copies, one for FAN pairs."""
+    other = "b" if side == "a" else "a"
+    own = sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+    if side == "a":
+        return pairs.join(own, "a")
+    fan = F.coalesce("fan", F.lit(1))
+    dealt = pairs.join(heavy, "b", "left").withColumn("salt", F.pmod(F.xxhash64(other), fan)).drop("fan")
+    copies = own.join(heavy, "b", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), fan - 1))).drop("fan")
+    return dealt.join(copies, ["b", "salt"]).drop("salt")
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of the distinct pairs (a, b) of classes, those that link. Written to the scratch folder."""
+    pairs = materialize(pairs)
+    heavy = pairs.groupBy("b").count().filter(F.col("count") > FAN).select("b", F.ceil(F.col("count") / FAN).alias("fan"))
+    signed = _beside(_beside(pairs, sets, "a", heavy, "bits", "n"), sets, "b", heavy, "bits", "n")
+    likely = materialize(signed.select("a", "b", "bits_a", "bits_b", "n_a", "n_b").mapInArrow(_likely, "a long, b long").distinct())
+    whole = _beside(_beside(likely, sets, "a", heavy, "own"), sets, "b", heavy, "own")
+    found = materialize(whole.select("a", "b", "own_a", "own_b").mapInArrow(_verified, "a long, b long").distinct())
+    free(pairs, likely)
+    return found
 
 
-def _across(held: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes of a tile, in different components, that sizes and bitmaps allow to link.
+def _between(links: DataFrame, state: DataFrame) -> DataFrame:
+    """The distinct pairs (ca, cb) of different components that links join."""
+    of = lambda side: state.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
+    return links.join(of("a"), "a").join(of("b"), "b").filter("ca <> cb").select("ca", "cb").distinct()
 
-    Both bounds are conditions of the join itself: pairs that can't link are never made.
-    """
-    words = [f"bits{k}" for k in range(BITS // 64)]
-    signed = classes.select("node", *[F.get("bits", F.lit(k)).alias(w) for k, w in enumerate(words)])
-    tile = held.select("key", "node", "n", "comp").join(signed, "node")
-    left, right = (tile.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "comp", *words)]) for s in "ab")
-    differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words[1:]), F.bit_count(F.col(f"{words[0]}_a").bitwiseXOR(F.col(f"{words[0]}_b"))))
-    allowed = _can_link(F.col("n_a"), F.col("n_b")) & (7 * differ <= F.col("n_a") + F.col("n_b"))
-    met = left.join(right, "key").filter("node_a < node_b and comp_a <> comp_b").filter(allowed)
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
+def _merged(state: DataFrame, found: DataFrame) -> DataFrame:
+    """state (s, node, comp) after some of the links found: a component joins the least that it links to, and that one's.
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of the distinct pairs (a, b) of classes, those that link. Written to the scratch folder."""
-    side = classes.select("node", "n", "bits")
-    likely = (
-        pairs.join(side.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-        .join(side.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
-        .filter(_can_link(F.col("n_a"), F.col("n_b")))
-        .filter(_few_bits(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b")))
-        .select("a", "b")
-    )
-    likely = materialize(likely)
-    nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-    wanted = materialize(classes.join(nodes, "node").select("node", "rep", "h1", "h2"))
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets, "h1 long, h2 long, own binary").join(wanted.drop("rep"), ["h1", "h2"]).groupBy("node").agg(F.first("own").alias("own"))
-    sets = materialize(sets)
-    return materialize(
-        likely.join(sets.select(F.col("node").alias("a"), F.col("own").alias("own_a")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("own").alias("own_b")), "b")
-        .select("a", "b", "own_a", "own_b")
-        .mapInArrow(_verified, "a long, b long")
-    )
+    Between rounds it is enough that what has one component is linked; all links count at the end.
+    """
+    between = _between(found, state)
+    both = between.union(between.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
+    step = both.groupBy(F.col("ca").alias("comp")).agg(F.min("cb").alias("to")).filter("to < comp")
+    for _ in range(2):
+        step = materialize(step)
+        step = step.join(step.select(F.col("comp").alias("to"), F.col("to").alias("end")), "to", "left").select("comp", F.coalesce("end", "to").alias("to"))
+    return materialize(state.join(step, "comp", "left").select("s", "node", F.coalesce("to", "comp").alias("comp")))
+
+
+def _held(tiles: DataFrame, state: DataFrame) -> DataFrame:
+    """The tiles of several components, with the state of their nodes."""
+    own = tiles.join(state, "node")
+    spread = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
+    return materialize(own.join(spread, "key"))
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(node, n, bits, own) of the documents with these ids: a bitmap of hashed ids goes to all tasks, no text is shuffled."""
+    spark = docs.sparkSession
+    parts = ids.select(F.xxhash64("doc_id").alias("h")).mapInArrow(_wanted_bits, "chunk int, body binary").repartition("chunk").mapInArrow(_joined_bits, "chunk int, body binary")
+    bits = np.zeros(1 << (WANTED - 3), np.uint8)
+    for r in parts.collect():  # 8 MB at most
+        own = np.frombuffer(zlib.decompress(r["body"]), np.uint8)
+        bits[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(own)] = own
+    wanted = spark.sparkContext.broadcast(bits)
+    return materialize(docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(wanted), "node long, n long, bits binary, own binary"))
+
+
+def _tiled(docs: DataFrame, sized: DataFrame) -> DataFrame:
+    """(key, node, n, place): the tiles. sized: what _sized gives."""
+    spark = docs.sparkSession
+    counters = np.zeros(1 << COUNTERS, np.uint32)
+    for r in sized.filter("chunk IS NOT NULL").select("chunk", "body").repartition("chunk").mapInArrow(_summed, "chunk int, body binary").collect():  # 16 MB at most
+        own = np.frombuffer(zlib.decompress(r["body"]), np.uint32)
+        counters[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(own)] = own
+    shingles = sized.filter("chunk IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    cells = 1 + shingles // (4 * CELL)
+    run = _postings(spark.sparkContext.broadcast(counters), int(np.median(counters)), cells)
+    packed = docs.select("text").mapInArrow(run, "cell int, keys binary, nodes binary, sizes binary, ranks binary")
+    return materialize(packed.groupBy("cell").applyInArrow(_tiles, "key long, node long, n long, place long"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_copies): one row for each row of docs. key: a whole number."""
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = materialize(docs.mapInArrow(_signatures, "doc_id long, n long, h1 long, h2 long, keys array<long>, bits array<long>"))
-    grouped = signed.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-    classes = materialize(grouped.select(F.monotonically_increasing_id().alias("node"), "*"))
-
-    # Tiles: band keys that several classes share; hub is the least class of each.
-    keyed = classes.select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
-    tiles = materialize(keyed.join(shared, "key").join(classes.select("node", "n"), "node").select("key", "node", "n"))
-    state = classes.select("node", F.col("node").alias("comp"))
-    links, exact = None, False  # exact: whether state follows from all links
+    """(doc_id, text_hash, n_shingles, component_id, n_copies, stays): one row for each row of docs. key: a whole number.
+
+    stays: whether the document is its component's one of the least id (then the least xxhash64 of its text; null ids last).
+    """
+    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    sized = materialize(docs.mapInArrow(_sized, "doc_id long, text_hash long, n long, node long, chunk int, body binary"))
+    rows = sized.filter("chunk IS NULL").select("doc_id", "text_hash", "n", "node")
+    one = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    classes = materialize(rows.filter("n > 0").groupBy("node").agg(F.min(one).alias("one"), F.count("*").alias("copies")))
+
+    tiles = _tiled(docs, sized)
+    large = tiles.groupBy("key").count()
+    nodes = tiles.join(large, "key").groupBy("node").agg((-F.sum("count")).alias("s"))
+    state = materialize(nodes.select("s", "node", F.struct("s", "node").alias("comp")))
+    sets = _texts_of(docs, state.join(classes, "node").select("one.doc_id").distinct())
+    links = []
     for turn in range(STAR_ROUNDS + 1):
-        held = tiles.join(state, "node") if turn else tiles.withColumn("comp", F.col("node"))
-        spread = held.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key", "low", "high")
-        held = materialize(held.join(spread, "key"))
+        held = _held(tiles, state)
         if held.isEmpty():
             break
-        if turn < STAR_ROUNDS:
-            pairs = _stars(held, turn)
-        else:
-            pairs = _across(held, classes)
-        found = _links(materialize(pairs), classes, docs)
-        links = found if links is None else links.union(found)
-        exact = turn >= STAR_ROUNDS - 1
-        state = materialize(_component_of(classes, links) if exact else _merged(state, found))
-    if links is not None and not exact:
-        state = _component_of(classes, links)
-    named = classes.select("node", "h1", "h2", "rep", "copies").join(state, "node")
-    least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "comp").select("h1", "h2", "component_id", "copies")
-    return signed.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("copies", F.lit(1)).alias("n_copies")
+        found = _links(_stars(held, turn) if turn < STAR_ROUNDS else _across(held), sets)
+        before, state = state, _merged(state, found)
+        free(held, before)
+        links.append(found)
+    free(tiles, sets)
+    comp = state.select("node", F.col("comp.node").alias("of"))
+    for k, found in enumerate(links):
+        between = _between(found, state).select(F.col("ca.node").alias("a"), F.col("cb.node").alias("b"))
+        crossed = between if not k else crossed.union(between)
+    if links:
+        ends = components(crossed)
+        comp = comp.join(ends.select(F.col("node").alias("of"), "component"), "of", "left").select("node", F.coalesce("component", "of").alias("of"))
+    # Classes without a shared tile are components of their own.
+    named = classes.join(comp, "node", "left").select("node", "one", "copies", F.coalesce("of", "node").alias("of"))
+    named = materialize(named)
+    free(classes, state, *links)
+    named = named.join(named.groupBy("of").agg(F.min("one").alias("least")), "of").select("node", "least", "copies")
+    mine = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    return rows.join(named, "node", "left").select(
+        "doc_id",
+        "text_hash",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("least").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+        F.coalesce("copies", F.lit(1)).alias("n_copies"),
+        (F.col("least").isNull() | F.col("least").eqNullSafe(mine)).alias("stays"),
     )
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of docs for each group of near duplicates, that with the least id; the columns of docs."""
-    kept = near_duplicates(docs, key, text).filter("doc_id <=> component_id").groupBy("doc_id").count()
-    kept = materialize(kept)
-    stay = docs.join(kept.select("doc_id"), docs[key].eqNullSafe(kept["doc_id"]), "left_semi")
-    return stay if kept.filter("count > 1").isEmpty() else stay.dropDuplicates([key, text])
+    """One row of docs for each group of near duplicates, that with the least id; the columns of docs.
+
+    Documents without shingles are in no group: all their rows stay.
+    """
+    kept = near_duplicates(docs, key, text).filter("stays").groupBy(F.col("doc_id").alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}hash"))
+    kept = materialize(kept.agg(F.count_if(F.col("n_shingles") > 0).alias(f"{OWN}rows")))
+    same = docs[key].cast("long").eqNullSafe(kept[f"{OWN}id"]) & F.xxhash64(docs[text]).eqNullSafe(kept[f"{OWN}hash"])
+    again = kept.filter(f"{OWN}rows > 1")
+    if again.isEmpty():
+        return docs.join(kept, same, "left_semi")
+    return docs.join(kept.filter(f"{OWN}rows <= 1"), same, "left_semi").unionByName(docs.join(again, same, "left_semi").dropDuplicates([key, text]))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_hash", "stays")
