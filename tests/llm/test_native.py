@@ -143,30 +143,42 @@ def test_urls_past_the_broadcast_bound(spark, monkeypatch):
 
 
 def chunks(text):
+    """(first, last) of the content-defined chunks."""
     lines = text.split("\n")
     n = [len(WORD.findall(x)) for x in lines]
     h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in lines]
     first = 0
     for i in range(len(lines)):
         rolled = h[i] ^ ((h[i - 1] << 1) & (2**64 - 1) if i else 0)
-        if i == len(lines) - 1 or n[i] >= 20 or n[i + 1] >= 20 or rolled & 3 == 0:
-            own = range(first, i + 1)
-            if sum(n[k] > 0 for k in own) >= 2 or sum(n[k] for k in own) >= 20:
-                yield first, i, "\n".join(lines[first : i + 1])
+        if i == len(lines) - 1 or n[i] > 50 or n[i + 1] > 50 or rolled & 3 == 0:
+            yield first, i
             first = i + 1
 
 
+def windows(text):
+    """(first, last) of the fewest lines with over 50 words from or up to each line with words."""
+    n = [len(WORD.findall(x)) for x in text.split("\n")]
+    worded = [i for i, x in enumerate(n) if x]
+    for k, i in enumerate(worded):
+        last = next((j for j in worded[k:] if sum(n[i : j + 1]) > 50), None)
+        first = next((j for j in worded[k::-1] if sum(n[j : i + 1]) > 50), None)
+        yield from [(i, last)] if last is not None else []
+        yield from [(first, i)] if first is not None else []
+
+
 def deduplicated(docs):
     """By text of each (id, text), with ids in order."""
-    seen, out = set(), {}
     signed = lambda t: xxhash.xxh64_intdigest(t.encode(), 42)
+    out, kept = {}, {}  # kept: of each chunk's bytes, where it stands first
     for k, t in sorted({(k, t) for k, t in docs if t is not None}, key=lambda x: (x[0], signed(x[1]) - (2**64 if signed(x[1]) >= 2**63 else 0))):
-        gone = set()
-        for a, b, body in chunks(t):
-            if body in seen:
-                gone |= set(range(a, b + 1))
-            seen.add(body)
-        out[k, t] = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+        lines, gone = t.split("\n"), set()
+        n = [len(WORD.findall(x)) for x in lines]
+        for a, b in sorted({*chunks(t), *windows(t)}):
+            if sum(x > 0 for x in n[a : b + 1]) >= 2 or sum(n[a : b + 1]) > 50:
+                where = kept.setdefault("\n".join(lines[a : b + 1]), (k, t, a, b))
+                if where[:2] != (k, t) or a > where[3]:
+                    gone |= set(range(a, b + 1))
+        out[k, t] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
 
 
@@ -195,7 +207,7 @@ def test_line_dedup_past_the_broadcast_bound(spark, documents, monkeypatch):
     assert sorted(line_dedup.clean(documents).collect()) == near
 
 
-@pytest.mark.parametrize("n_lines,n_words", [(3, 18), (5, 12), (6, 12), (8, 12), (20, 12)])
+@pytest.mark.parametrize("n_lines,n_words", [(3, 18), (5, 12), (6, 12), (8, 12), (20, 12), (3, 20), (2, 40), (1, 51)])
 def test_line_dedup_planted_passages(spark, n_lines, n_words):
     """All lines of a passage of over 50 words go from the later texts, whatever short lines are around it."""
     rng = random.Random(n_lines)
@@ -203,7 +215,8 @@ def test_line_dedup_planted_passages(spark, n_lines, n_words):
     rows, expected = [], {}
     for k in range(30):
         passage = [line(n_words) for _ in range(n_lines)]
-        passage.insert(2, "")
+        if n_lines > 2:
+            passage.insert(2, "")
         for copy in range(3):
             before, after = [line(rng.randint(3, 15)) for _ in range(rng.randint(0, 9))], [line(rng.randint(3, 15)) for _ in range(rng.randint(0, 9))]
             rows.append((3 * k + copy, "\n".join(before + passage + after)))
@@ -212,6 +225,25 @@ def test_line_dedup_planted_passages(spark, n_lines, n_words):
     assert {r["doc_id"]: r["text"] for r in got} == expected
 
 
+def test_line_dedup_has_no_switch_by_line_length(spark):
+    """A repeated line of 19, 20 or 50 words alone is no passage; one of 51 words is."""
+    rng = random.Random(8)
+    for n, goes in ((19, False), (20, False), (50, False), (51, True)):
+        line = " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+        rows = [(k, "\n".join([f"before {n} {k}", line, f"after {n} {k}"])) for k in range(40)]
+        got = line_dedup.deduplicate(spark.createDataFrame(rows, DOC)).filter(f"{OWN}removed > 0").count()
+        assert got == (39 if goes else 0)
+
+
+def test_line_dedup_hot_chunk(spark, monkeypatch):
+    """One passage in all documents is dealt over many tasks."""
+    monkeypatch.setattr(line_dedup, "FAN", 7)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, f"{passage}\nown words {k}") for k in range(200)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {k: t if not k else f"own words {k}" for k, t in rows}
+
+
 def test_line_dedup_repeats_within_a_text(spark):
     """Equal lines: what overlaps the first occurrence is no repetition."""
     same, short = "ten words in a line that stands here many times", "\n".join(["a b c d e"] * 10)
@@ -224,8 +256,9 @@ def test_chunks_resist_shifts():
     """Lines put in front move no chunk beyond the first boundary."""
     rng = random.Random(5)
     lines = [" ".join(f"w{rng.randint(0, 99)}" for _ in range(rng.randint(1, 9))) for _ in range(80)]
-    before = {b for _, _, b in chunks("\n".join(lines))}
-    after = {b for _, _, b in chunks("\n".join(["new line", "another"] + lines))}
+    cut = lambda own: {"\n".join(own[a : b + 1]) for a, b in chunks("\n".join(own))}
+    before = cut(lines)
+    after = cut(["new line", "another"] + lines)
     assert len(before - after) <= 2
 
 

@@ -64,6 +64,13 @@ def free(*tables: DataFrame) -> None:
         if df._scratch_path in own:
             own.remove(df._scratch_path)
             drop_path(df.sparkSession, df._scratch_path)
+    if tables:
+        _collect(tables[0].sparkSession)
+
+
+def _collect(spark: SparkSession) -> None:
+    """Let go of the shuffle files of ended jobs: Spark removes them when the driver's JVM collects what names them."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def mark(spark: SparkSession) -> set[str]:
@@ -71,6 +78,10 @@ def mark(spark: SparkSession) -> set[str]:
     return set(_TABLES.get(spark.sparkContext.applicationId, ()))
 
 
+def mark_of(*tables: DataFrame) -> set[str]:
+    return {df._scratch_path for df in tables}
+
+
 def release(spark: SparkSession, keep: set[str] = frozenset(), needed: DataFrame | None = None) -> None:
     """Drop all scratch tables but those in keep and those that the DataFrame needed still reads."""
     own = _TABLES.get(spark.sparkContext.applicationId, [])
@@ -79,6 +90,7 @@ def release(spark: SparkSession, keep: set[str] = frozenset(), needed: DataFrame
         for path in [x for x in own if x not in keep and not any(f"/tidemark/{x.rsplit('/', 1)[1]}/" in f for f in read)]:
             own.remove(path)
             drop_path(spark, path)
+        _collect(spark)
 
 
 def words(text: Column) -> Column:

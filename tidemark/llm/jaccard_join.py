@@ -11,8 +11,8 @@
    What makes near copies differ is rare and comes first, so classes that differ too much share no
    tile, or not at ranks that allow a link.
 3. Stars. In each tile the classes meet one hub: first the class with the largest tiles (of a group
-   of near copies, the original), then one chosen by hash, and a class keeps the EDGES hubs that it
-   met most often. So a large group makes links by its size, not by its square.
+   of near copies, the original), then one chosen by hash, and a class keeps the hub (then the EDGES
+   hubs) that it met most often. So a large group makes links by its size, not by its square.
 4. Bands. Tiles that still hold several components are split by bands of set sizes, and all pairs
    across components that sizes and ranks allow are compared: no link between them is lost.
 5. Every pair is first bounded by hashed bitmap signatures (parity bits, at least twice as many as
@@ -44,7 +44,7 @@ from tidemark.llm.shingles import mix, shingle_sets, slices, word_hashes
 COUNTERS = 22
 CHUNK = 1 << 16
 #: Postings in a cell, and in what a task packs at once.
-CELL, PACK = 1 << 20, 1 << 20
+CELL, PACK = 1 << 20, 1 << 19
 #: A shingle counted so many times more often than the median counter is dealt over several cells.
 HEAVY = 5_000
 STAR_ROUNDS, EDGES = 2, 4
@@ -71,22 +71,23 @@ def _add(total: dict[int, np.ndarray], chunk: int, counts: np.ndarray) -> None:
 
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_hash, n, node) of (doc_id, text_hash, text); then (chunk, body) of the counters."""
+    """(doc_id, text_hash, n, node, bits) of (doc_id, text_hash, text); then (chunk, body) of the counters."""
     table = np.zeros(1 << COUNTERS, np.uint32)
     for batch in batches:
         for first, data, offsets in slices(batch.column(2)):
             sets, rows = shingle_sets(*word_hashes(data, offsets))
             n = np.diff(rows)
             np.add.at(table, (sets >> np.uint64(64 - COUNTERS)).astype(np.int64), np.uint32(1))
-            nodes = [node_of(sets[a:b]) if b > a else None for a, b in zip(rows.tolist(), rows[1:].tolist(), strict=False)]
+            own = [sets[a:b] for a, b in zip(rows.tolist(), rows[1:].tolist(), strict=False)]
+            nodes, bits = [node_of(x) if len(x) else None for x in own], [signature(x) if len(x) else None for x in own]
             none = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
-            yield pa.record_batch([batch.column(0).slice(first, len(n)), batch.column(1).slice(first, len(n)), pa.array(n), pa.array(nodes, pa.int64()), *none], names=_SIZED)
+            yield pa.record_batch([batch.column(0).slice(first, len(n)), batch.column(1).slice(first, len(n)), pa.array(n), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()), *none], names=_SIZED)
     for at in range(0, 1 << COUNTERS, CHUNK):
         if (part := table[at : at + CHUNK]).any():
-            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.array([at // CHUNK], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=_SIZED)
+            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary()), pa.array([at // CHUNK], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=_SIZED)
 
 
-_SIZED = ["doc_id", "text_hash", "n", "node", "chunk", "body"]
+_SIZED = ["doc_id", "text_hash", "n", "node", "bits", "chunk", "body"]
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +206,7 @@ def _joined_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(wanted):
-    """(node, n, bits, own) of (id hash, text): of all wanted documents, and of a few more."""
+    """(node, own) of (id hash, text): of all wanted documents, and of a few more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
@@ -215,10 +216,7 @@ def _sets(wanted):
             for _, data, offsets in slices(texts):
                 sets, rows = shingle_sets(*word_hashes(data, offsets))
                 own = [sets[a:b] for a, b in zip(rows.tolist(), rows[1:].tolist(), strict=False) if b > a]
-                yield pa.record_batch(
-                    [pa.array([node_of(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array([signature(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())],
-                    names=["node", "n", "bits", "own"],
-                )
+                yield pa.record_batch([pa.array([node_of(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["node", "own"])
 
     return run
 
@@ -265,7 +263,7 @@ def _stars(held: DataFrame, turn: int) -> DataFrame:
     meets = (F.col("comp") != F.col("h.comp")) & can_link(F.col("n"), F.col("place"), F.col("h.n"), F.col("h.place"))
     met = held.join(hubs, "key").filter(meets).groupBy(F.col("node").alias("a"), F.col("h.node").alias("b")).count()
     most = Window.partitionBy("a").orderBy(F.col("count").desc(), "b")
-    return met.withColumn("nth", F.row_number().over(most)).filter(F.col("nth") <= EDGES).select("a", "b")
+    return met.withColumn("nth", F.row_number().over(most)).filter(F.col("nth") <= (EDGES if turn else 1)).select("a", "b")
 
 
 def _band(n: Column) -> Column:
@@ -299,15 +297,17 @@ def _beside(pairs: DataFrame, sets: DataFrame, side: str, heavy: DataFrame, *col
     return dealt.join(copies, ["b", "salt"]).drop("salt")
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Of the distinct pairs (a, b) of classes, those that link. Written to the scratch folder."""
     pairs = materialize(pairs)
     heavy = pairs.groupBy("b").count().filter(F.col("count") > FAN).select("b", F.ceil(F.col("count") / FAN).alias("fan"))
-    signed = _beside(_beside(pairs, sets, "a", heavy, "bits", "n"), sets, "b", heavy, "bits", "n")
+    signed = _beside(_beside(pairs, classes, "a", heavy, "bits", "n"), classes, "b", heavy, "bits", "n")
     likely = materialize(signed.select("a", "b", "bits_a", "bits_b", "n_a", "n_b").mapInArrow(_likely, "a long, b long").distinct())
+    nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
+    sets = _texts_of(docs, classes.join(nodes, "node").select("one.doc_id").distinct())
     whole = _beside(_beside(likely, sets, "a", heavy, "own"), sets, "b", heavy, "own")
     found = materialize(whole.select("a", "b", "own_a", "own_b").mapInArrow(_verified, "a long, b long").distinct())
-    free(pairs, likely)
+    free(pairs, likely, sets)
     return found
 
 
@@ -339,7 +339,7 @@ def _held(tiles: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(node, n, bits, own) of the documents with these ids: a bitmap of hashed ids goes to all tasks, no text is shuffled."""
+    """(node, own) of the documents with these ids: a bitmap of hashed ids goes to all tasks, no text is shuffled."""
     spark = docs.sparkSession
     parts = ids.select(F.xxhash64("doc_id").alias("h")).mapInArrow(_wanted_bits, "chunk int, body binary").repartition("chunk").mapInArrow(_joined_bits, "chunk int, body binary")
     bits = np.zeros(1 << (WANTED - 3), np.uint8)
@@ -347,7 +347,7 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
         own = np.frombuffer(zlib.decompress(r["body"]), np.uint8)
         bits[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(own)] = own
     wanted = spark.sparkContext.broadcast(bits)
-    return materialize(docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(wanted), "node long, n long, bits binary, own binary"))
+    return materialize(docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(wanted), "node long, own binary"))
 
 
 def _tiled(docs: DataFrame, sized: DataFrame) -> DataFrame:
@@ -370,26 +370,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     stays: whether the document is its component's one of the least id (then the least xxhash64 of its text; null ids last).
     """
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    sized = materialize(docs.mapInArrow(_sized, "doc_id long, text_hash long, n long, node long, chunk int, body binary"))
-    rows = sized.filter("chunk IS NULL").select("doc_id", "text_hash", "n", "node")
+    sized = materialize(docs.mapInArrow(_sized, "doc_id long, text_hash long, n long, node long, bits binary, chunk int, body binary"))
+    rows = sized.filter("chunk IS NULL").select("doc_id", "text_hash", "n", "node", "bits")
     one = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    classes = materialize(rows.filter("n > 0").groupBy("node").agg(F.min(one).alias("one"), F.count("*").alias("copies")))
+    classes = materialize(rows.filter("n > 0").groupBy("node").agg(F.min(one).alias("one"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bits").alias("bits")))
 
     tiles = _tiled(docs, sized)
     large = tiles.groupBy("key").count()
     nodes = tiles.join(large, "key").groupBy("node").agg((-F.sum("count")).alias("s"))
     state = materialize(nodes.select("s", "node", F.struct("s", "node").alias("comp")))
-    sets = _texts_of(docs, state.join(classes, "node").select("one.doc_id").distinct())
     links = []
     for turn in range(STAR_ROUNDS + 1):
         held = _held(tiles, state)
         if held.isEmpty():
             break
-        found = _links(_stars(held, turn) if turn < STAR_ROUNDS else _across(held), sets)
+        found = _links(_stars(held, turn) if turn < STAR_ROUNDS else _across(held), classes, docs)
         before, state = state, _merged(state, found)
         free(held, before)
         links.append(found)
-    free(tiles, sets)
+    free(tiles)
     comp = state.select("node", F.col("comp.node").alias("of"))
     for k, found in enumerate(links):
         between = _between(found, state).select(F.col("ca.node").alias("a"), F.col("cb.node").alias("b"))

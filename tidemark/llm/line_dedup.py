@@ -1,26 +1,26 @@
 """Line dedup by content-defined chunks (native).
 
 A text's lines are cut into chunks where the lines themselves say so. A rolling hash over the hashes
-of the last WINDOW lines (shifted and XORed) ends a chunk where its low bits are zero; a line of
-LONG_LINE words or more (a paragraph) is a chunk of its own. A boundary depends on nearby lines
-only, so inserted or lost lines elsewhere in a text do not shift it, and a passage gets the same
-chunks in every document.
+of two lines (shifted and XORed) ends a chunk where its low bits are zero; a line that is a passage
+of its own (over PASSAGE words) is a chunk of its own. A boundary depends on nearby lines only, so
+inserted or lost lines elsewhere in a text do not shift it, and a passage gets the same chunks in
+every document.
 
-A chunk counts if it has MIN_LINES lines with words or more, or LONG_LINE words or more.
+A passage of a few lines may share no chunk with its copy, so passages are found by windows too,
+which depend on nothing but their own lines: from each line with words the fewest lines with over
+PASSAGE words, and the fewest such that end there. Each line of a passage of over PASSAGE words that
+stands twice is in a window inside of it, so all of its lines are found, whatever is around it. What
+overlaps its own first occurrence is no repetition. Below, windows are treated as chunks are.
 
-Short lines between others may share no chunk, so passages of lines below LONG_LINE words are found by
-windows too, which depend on nothing but their own lines: from each line with words the fewest lines
-with over PASSAGE words, and the fewest such that end there. Each line of such a passage of over
-PASSAGE words that stands twice is in a window inside of it, so all of its lines are found, whatever
-is around it. What overlaps its own first occurrence is no repetition. Below, windows are treated as
-chunks are. Short lines between long ones, fewer than PASSAGE words together, have chunks only.
+A chunk counts if it has MIN_LINES lines with words or more, or over PASSAGE words.
 
 Chunks with one hash are counted over all documents. The occurrences of those that repeat (and no others) travel
 with their bytes, which are compared with the first occurrence's (least id, text hash, place): what
 is equal is removed, the first occurrence stays.
 
-Shuffles: 24-byte counts, combined before the shuffle, so that a chunk in a third of all documents
-is no hot key; the repeated chunks' bytes; and the numbers of removed lines back to the documents.
+Shuffles: 24-byte counts, combined before the shuffle; the places and then the bytes of repeated
+chunks, where those of one chunk are dealt over many tasks; and the places of removed lines back to the
+documents (a broadcast of BROADCAST_ROWS places of 16 bytes at most, else a shuffle by document).
 
 Cases: null and empty texts have no chunk and stay as they are; lines without words never count but
 belong to the chunk around them; a text whose chunks are all removed becomes empty (`clean` drops
@@ -33,13 +33,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import OWN, SPACE, materialize, read_table
+from tidemark.llm.common import OWN, SPACE, free, mark, mark_of, materialize, read_table, release
 
-WINDOW = 2
-BOUNDARY_BITS = 3  # a boundary where r & 3 == 0: four short lines a chunk
-LONG_LINE = 20
+BOUNDARY_BITS = 3  # a boundary where r & 3 == 0: four lines a chunk
 MIN_LINES = 2
+#: More words than this are a passage.
 PASSAGE = 50
+#: So many rows of one chunk share a task's copy of what joins them.
+FAN = 1_000
 BROADCAST_ROWS = 500_000
 
 
@@ -57,24 +58,23 @@ def chunked(rows: DataFrame, text: str) -> DataFrame:
     rolled = lambda i: F.get(h, i).bitwiseXOR(F.shiftleft(F.coalesce(F.get(h, i - 1), F.lit(0).cast("long")), 1))
     ends = F.filter(
         F.sequence(F.lit(0), F.size(line) - 1),
-        lambda i: (i == F.size(line) - 1) | (F.get(n, i) >= LONG_LINE) | (F.get(n, i + 1) >= LONG_LINE) | (rolled(i).bitwiseAND(F.lit(BOUNDARY_BITS).cast("long")) == 0),
+        lambda i: (i == F.size(line) - 1) | (F.get(n, i) > PASSAGE) | (F.get(n, i + 1) > PASSAGE) | (rolled(i).bitwiseAND(F.lit(BOUNDARY_BITS).cast("long")) == 0),
     )
     cut = cut.withColumn(f"{p}ends", F.when(line.isNotNull(), ends))
     spans = F.transform(f"{p}ends", lambda last, k: F.struct((F.coalesce(F.get(F.col(f"{p}ends"), k - 1), F.lit(-1)) + 1).alias("first"), last.alias("last")))
 
     cut = cut.withColumn(f"{p}spans", spans)
 
-    # A window has PASSAGE + 1 lines with words at most. Packed: the words so far * 64 + the lines so far; -1 past a long line.
+    # A window has PASSAGE + 1 lines with words at most. Packed: the words so far * 64 + the lines so far.
     cut = cut.withColumn(f"{p}worded", F.filter(F.sequence(F.lit(0), F.size(line) - 1), lambda i: F.get(n, i) > 0))
     worded = F.col(f"{p}worded")
     cut = cut.withColumn(f"{p}m", F.transform(worded, lambda i: F.get(n, i).cast("long")))
     m, full, most = F.col(f"{p}m"), (PASSAGE + 1) * 64, PASSAGE + 1
-    reach = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, x: F.when((a >= full) | (a < 0), a).when(x >= LONG_LINE, -1).otherwise(a + x * 64 + 1))
+    reach = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, x: F.when(a >= full, a).otherwise(a + x * 64 + 1))
     steps = lambda a: F.when(a >= full, a.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    short = lambda k: F.get(m, k) < LONG_LINE
-    ahead = F.transform(worded, lambda i, k: F.struct(i.alias("first"), F.when(short(k), F.get(worded, k - 1 + steps(reach(F.slice(m, k + 1, most))))).alias("last")))
+    ahead = F.transform(worded, lambda i, k: F.struct(i.alias("first"), F.get(worded, k - 1 + steps(reach(F.slice(m, k + 1, most)))).alias("last")))
     before = lambda k: F.reverse(F.slice(m, F.greatest(k + 2 - most, F.lit(1)), F.least(k + 1, F.lit(most))))
-    behind = F.transform(worded, lambda i, k: F.struct(F.when(short(k), F.get(worded, k + 1 - steps(reach(before(k))))).alias("first"), i.alias("last")))
+    behind = F.transform(worded, lambda i, k: F.struct(F.get(worded, k + 1 - steps(reach(before(k)))).alias("first"), i.alias("last")))
     windows = F.filter(F.concat(ahead, behind), lambda s: s["first"].isNotNull() & s["last"].isNotNull())
     cut = cut.withColumn(f"{p}windows", F.array_except(windows, F.col(f"{p}spans")))
 
@@ -95,25 +95,36 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     id and text_hash, the xxhash64 of the text, name the document.
     """
     texts = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("body")).filter(F.col("body").isNotNull())
-    counts = (F.col("c.lines") >= MIN_LINES) | (F.col("c.words") >= LONG_LINE)
+    counts = (F.col("c.lines") >= MIN_LINES) | (F.col("c.words") > PASSAGE)
     # explode() would put a filter on the array's size below the projections, with all their expressions unfolded into it.
     found = chunked(texts, "body").select("id", "text_hash", F.explode_outer(f"{OWN}chunks").alias("c")).filter(counts)
     found = materialize(found.select("id", "text_hash", F.col("c.first").alias("first"), F.col("c.last").alias("last"), F.col("c.hash").alias("hash"), F.col("c.cut").alias("cut")))
     place = F.xxhash64("id", "text_hash", "first")
-    again = found.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("hash")
+    again = found.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.ceil(F.count("*") / FAN).alias("fan")).filter("a <> b").select("hash", "fan")
     again = materialize(found.join(again, "hash").distinct())
-    spans = again.groupBy(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash")).agg(F.collect_list(F.struct("first", "last", "hash", "cut")).alias("spans"))
+    repeats = _repeats(found)
+    free(found)
+    spans = again.groupBy(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash")).agg(F.collect_list(F.struct("first", "last", "hash", "cut", "fan")).alias("spans"))
     spans = _small(spans, again.count())
     same = texts["id"].eqNullSafe(spans["its_id"]) & (texts["text_hash"] == spans["its_hash"])
-    own = texts.join(spans, same).dropDuplicates(["id", "text_hash"]) if _repeats(found) else texts.join(spans, same)
+    own = texts.join(spans, same).dropDuplicates(["id", "text_hash"]) if repeats else texts.join(spans, same)
     own = own.withColumn("line", F.split("body", "\n")).select("id", "text_hash", "line", F.explode("spans").alias("s"))
     bytes_of = F.array_join(F.slice("line", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + 1), "\n")
-    own = materialize(own.select("id", "text_hash", "s.first", "s.last", "s.hash", "s.cut", bytes_of.alias("chunk")))
-    stays = own.groupBy("hash").agg(F.min(F.struct("id", "text_hash", "first")).alias("stays"))
+    own = materialize(own.select("id", "text_hash", "s.first", "s.last", "s.hash", "s.cut", "s.fan", bytes_of.alias("chunk")))
+    free(again)
     named = F.struct("id", "text_hash", "first")
-    kept = own.join(stays, "hash").filter(named.eqNullSafe(F.col("stays"))).select("hash", F.col("chunk").alias("kept_chunk"), "stays", F.col("last").alias("stays_to"))
+    stays = own.groupBy("hash", "fan").agg(F.min(named).alias("stays"))
+    kept = _joined(own, stays).filter(named.eqNullSafe(F.col("stays"))).select("hash", "fan", F.col("chunk").alias("kept_chunk"), "stays", F.col("last").alias("stays_to"))
     overlaps = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("text_hash") == F.col("stays.text_hash")) & (F.col("first") <= F.col("stays_to"))
-    return own.join(kept, "hash").filter((F.col("chunk") == F.col("kept_chunk")) & ~overlaps).select("id", "text_hash", "first", "last", "hash", "cut")
+    return _joined(own, materialize(kept)).filter((F.col("chunk") == F.col("kept_chunk")) & ~overlaps).select("id", "text_hash", "first", "last", "hash", "cut")
+
+
+def _joined(rows: DataFrame, chunks: DataFrame) -> DataFrame:
+    """rows joined with chunks, one row a hash. A chunk of more than FAN rows (in a third of all documents, say) is many tasks."""
+    salt = f"{OWN}salt"
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64("id", "text_hash", "first"), F.col("fan")))
+    copies = chunks.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.col("fan") - 1))).drop("fan")
+    return dealt.join(copies, ["hash", salt]).drop(salt)
 
 
 def _repeats(found: DataFrame) -> bool:
@@ -127,12 +138,14 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with its text cleaned and the columns OWN + 'lines', OWN + 'removed' (numbers of lines), OWN + 'chunks' (removed)."""
+    before = mark(docs.sparkSession)
     gone = materialize(removals(docs, key, text))
-    numbers = F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last"))))
-    gone_of = gone.groupBy(F.col("id").alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}hash")).agg(numbers.alias(f"{OWN}gone"), F.count_if("cut").alias(f"{OWN}chunks"))
+    release(docs.sparkSession, before | mark_of(gone), docs)
+    gone_of = gone.groupBy(F.col("id").alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}hash")).agg(F.collect_set(F.struct("first", "last")).alias(f"{OWN}spans"), F.count_if("cut").alias(f"{OWN}chunks"))
     gone_of = _small(gone_of, gone.count())
     joined = docs.join(gone_of, docs[key].eqNullSafe(gone_of[f"{OWN}id"]) & (F.xxhash64(docs[text]) == gone_of[f"{OWN}hash"]), "left")
     joined = joined.withColumn(f"{OWN}line", F.split(F.col(text), "\n"))
+    joined = joined.withColumn(f"{OWN}gone", F.array_distinct(F.flatten(F.transform(f"{OWN}spans", lambda s: F.sequence(s["first"], s["last"])))))
     line, own_gone = F.col(f"{OWN}line"), F.col(f"{OWN}gone")
     stay = F.array_except(F.sequence(F.lit(0), F.size(line) - 1), own_gone)
     cleaned = F.when(own_gone.isNull(), F.col(text)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(line, i)), "\n"))
