@@ -6,6 +6,7 @@ import collections
 import random
 import re
 
+import duckdb
 import pytest
 import xxhash
 from conftest import DATA
@@ -82,6 +83,41 @@ def test_quality_estimates():
     assert quality_rules._member([2, 2, 1, 1], *model)[0] < 0.1 < 0.5 < quality_rules._member([1, 1, 1, 1], *model)[0]
 
 
+def test_quality_rules_alike_at_every_length(spark):
+    """A vocabulary that suits a text of 900 words suits one of 5,000 too: no rule changes at a length."""
+    rng = random.Random(4)
+    for n in (900, 5_000):
+        text = " ".join(f"w{rng.randint(0, 399)}" for _ in range(n))
+        names = list(quality_rules.rules())
+        vote = quality_rules.judge(docs_of(spark, [text])).first()[OWN + "votes"]
+        assert quality_rules.digits(vote, len(names))[names.index("few_distinct_words")] == quality_rules.KEEP
+
+
+def test_quality_against_loops(spark, documents):
+    """EM, the posterior and the verdict of every document against sums in plain loops."""
+    judged = quality_rules.judge(documents).collect()
+    families = [f for f, _, _ in quality_rules.rules().values()]
+    kinds, all_votes = list(dict.fromkeys(families)), [quality_rules.digits(r[OWN + "votes"], len(families)) for r in judged]
+    member = []
+    for v in all_votes:
+        against = [sum(x == 2 for x, f in zip(v, families, strict=True) if f == kind) / families.count(kind) for kind in kinds]
+        raw = [max(0.01, 1 - sum(against)), *against]
+        member.append([x / sum(raw) for x in raw])
+    for _ in range(40):
+        mass = [sum(m[c] for m in member) for c in range(len(kinds) + 1)]
+        share = [(0.5 + x) / (0.5 * len(mass) + len(judged)) for x in mass]
+        table = [[[(0.5 + sum(m[c] for m, v in zip(member, all_votes, strict=True) if v[k] == x)) / (1.5 + mass[c]) for x in (0, 1, 2)] for k in range(len(families))] for c in range(len(mass))]
+        member = []
+        for v in all_votes:
+            raw = [share[c] for c in range(len(mass))]
+            for k, x in enumerate(v):
+                raw = [p * table[c][k][x] for c, p in enumerate(raw)]
+            member.append([p / sum(raw) for p in raw])
+    for r, m in zip(judged, member, strict=True):
+        assert r[OWN + "p_good"] == pytest.approx(m[0], abs=1e-6)
+        assert r[OWN + "kept"] == (not base(r["text"])[-1] and r[OWN + "p_good"] >= 0.5)
+
+
 def test_quality_empty_and_extra_columns(spark):
     extra = docs_of(spark, ODD).selectExpr("*", "'x' AS n_words", "1 AS kept")
     assert quality_rules.keep_good(extra).columns == extra.columns
@@ -132,6 +168,20 @@ def test_urls(spark, duck, same_as_sql):
     assert url_filters.filter_urls(pages.union(pages)).count() == 2 * len(URLS)
 
 
+def test_urls_odd_rules(spark, monkeypatch):
+    """Capitals in a rule's path, rules without a token, keys named like results, very long URLs."""
+    urls = ["http://a.example.com/Foo/x", "http://a.example.com/foo/x", "http://b.org/-/", "http://c.org/x", None, "http://d.org/" + "y" * 200_000 + "/z9z", "http://E.Example.com/"]
+    sites = (url_filters.SiteRule("block", "Example.com", "/Foo/"), url_filters.SiteRule("allow", "example.com", "/"))
+    patterns = (url_filters.PatternRule("/-/$", ()), url_filters.PatternRule("z9z$", ("Z9Z",)))
+    pages = spark.createDataFrame(list(enumerate(urls)), "host long, url string").selectExpr("*", "1 AS rule", "2 AS token")
+    for bound in (50_000, 0):
+        monkeypatch.setattr(url_filters, "BROADCAST_RULES", bound)
+        got = {r["host"]: (r["verdict"], r["rule"]) for r in url_filters.filter_urls(pages, "host", "url", sites, patterns).collect()}
+        assert [got[k][0] for k in range(len(urls))] == ["block", "allow", "block", "allow", "allow", "block", "allow"]
+        assert got[0][1] == "Example.com/Foo/" and got[1][1] == got[6][1] == "example.com/"
+    assert url_filters.filter_urls(pages, "host").columns == ["host", "url_host", "path", "rule", "verdict", "pattern"]
+
+
 def test_urls_past_the_broadcast_bound(spark, monkeypatch):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     near = sorted(url_filters.filter_urls(pages).collect())
@@ -292,6 +342,7 @@ def test_decontamination(spark, monkeypatch):
             own[j] = "changed"
         docs.append((4 + k, " ".join([word() for _ in range(rng.randint(0, 300))] + [x.upper() + "," for x in own] + [word() for _ in range(40)])))
     docs.append(docs[5])
+    docs += [(30, "so One,two it is"), (31, "one too"), (32, " ".join(word() for _ in range(700)) + " one two")]
     d = spark.createDataFrame(docs, DOC).selectExpr("*", "7 AS item_id")
     b = spark.createDataFrame(items, "item_id long, text string")
     expected = sorted(set(contained(docs, items)))
@@ -300,4 +351,11 @@ def test_decontamination(spark, monkeypatch):
     assert {r["doc_id"] for r in decontaminate.without_leaks(d, b).collect()} == {k for k, _ in docs} - {k for k, *_ in expected}
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
     assert got() == expected
+    con = duckdb.connect()
+    import pandas
+
+    con.register("documents", pandas.DataFrame({"doc_id": [k for k, _ in docs], "text": [t for _, t in docs]}))
+    con.register("benchmark", pandas.DataFrame({"item_id": [k for k, _ in items], "text": [t for _, t in items]}))
+    by_sql = con.execute(f"SELECT doc_id, item_id, n_found, n_item FROM ({decontaminate.ORACLE_SQL})").fetchall()
+    assert sorted(by_sql) == expected and {(30, 22), (32, 23)} <= {x[:2] for x in expected}
     assert decontaminate.leaks(d.limit(0), b).count() == 0 and decontaminate.leaks(d, b.limit(0)).count() == 0

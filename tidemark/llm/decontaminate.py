@@ -2,10 +2,11 @@
 
 Which documents hold at least 75 % of a benchmark item's distinct 5-word shingles?
 
-Items are partitioned by their number of shingles m. In the partition of m, an item's signature is
-its k = m - ceil(0.75 m) + 1 least shingle hashes (a bottom-k MinHash whose length the partition
-sets). A document that holds 75 % of the item lacks at most k - 1 of its shingles, so it holds at
-least one of the signature: the search loses nothing, however long the document is. Documents'
+Items are partitioned by their number of shingles m (PARTITIONS), and a partition says how many hits
+h a candidate needs. An item's signature is its m - ceil(0.75 m) + h least shingle hashes (a bottom-k
+MinHash whose length follows the size). A document that holds 75 % of the item lacks at most
+m - ceil(0.75 m) of its shingles, so it holds at least h of the signature: the search loses nothing,
+however long the document is, and larger items need more than one shingle in common. Documents'
 shingles meet the signatures' (candidates); only candidates' shingles meet all shingles of their
 items (exact containment).
 
@@ -14,7 +15,8 @@ case nor punctuation hides a copy. An item with fewer than five words is one shi
 such short shingles are searched only in the lengths that occur among the items.
 
 The signatures (about a quarter of the items' shingles) and the items are broadcast while they have
-at most BROADCAST_ROWS rows, and joined by shuffle beyond that; so are the candidates' ids.
+at most BROADCAST_ROWS rows; beyond that a bitmap of their hashes, of a fixed size, thins out the
+documents' shingles before a shuffle join. The candidates' ids are broadcast or joined alike.
 
 Cases: null, empty or wordless texts contain nothing, and such items are in nothing; repeated
 documents each get their pairs once; equal items all match; empty tables give an empty result;
@@ -26,11 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import OWN, ascii_lower, materialize, read_table
+from tidemark.llm.common import OWN, ascii_lower, free, likely_in, materialize, read_table
 
 WIDTH = 5
 #: Bound on what is broadcast: 24 bytes a row of signatures or ids.
 BROADCAST_ROWS = 500_000
+#: Items of so many shingles or more need so many hits of their signature.
+PARTITIONS = ((1, 1), (8, 2), (32, 4))
 
 
 def tokens(text: Column) -> Column:
@@ -65,8 +69,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     items = materialize(_items(benchmark, item_key, item_text))
     n_items = items.count()
     widths = sorted({WIDTH, *(r[0] for r in items.select("width").distinct().collect())})  # at most five
-    least = F.floor((F.col("m") * percent + 99) / 100)
-    signatures = items.filter(F.col("place") <= F.col("m") - least + 1).select("hash", "item_id")
+    least = F.floor((F.col("m") * percent + 99) / 100).cast("int")
+    hits = F.lit(0)
+    for size, needed in PARTITIONS:
+        hits = F.when(F.col("m") >= size, needed).otherwise(hits)
+    signatures = items.withColumn("needed", F.least(hits, least)).filter(F.col("place") <= F.col("m") - least + F.col("needed")).select("hash", "item_id", "needed")
+
+    def met(rows: DataFrame, table: DataFrame) -> DataFrame:
+        if n_items > BROADCAST_ROWS:
+            return likely_in(rows, F.col("hash"), table, F.col("hash")).join(table, "hash")
+        return rows.join(F.broadcast(table), "hash")
 
     def hashed(rows: DataFrame) -> DataFrame:
         worded = rows.withColumn("w", tokens(F.col("body"))).withColumn("n", F.size("w"))
@@ -74,12 +86,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         return worded.select("id", "text_hash", F.explode(F.concat(*own) if len(own) > 1 else own[0]).alias("hash"))
 
     texts = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("body"))
-    found = hashed(texts).join(_small(signatures, n_items), "hash").select("id", "text_hash", "item_id").distinct()
-    found = materialize(found)
+    hit = met(hashed(texts), signatures).select("id", "text_hash", "item_id", "needed", "hash").distinct()
+    hit = hit.groupBy("id", "text_hash", "item_id", "needed").count().filter("count >= needed")
+    found = materialize(hit.select("id", "text_hash", "item_id"))
     n_found = found.count()
     names = found.select(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash")).distinct()
     candidates = texts.join(_small(names, n_found), texts["id"].eqNullSafe(names["its_id"]) & (texts["text_hash"] == names["its_hash"]), "left_semi")
-    held = hashed(candidates).join(_small(items.select("hash", "item_id", "m"), n_items), "hash").select("id", "text_hash", "item_id", "m", "hash").distinct()
+    held = met(hashed(candidates), items.select("hash", "item_id", "m")).select("id", "text_hash", "item_id", "m", "hash").distinct()
     counted = held.groupBy("id", "text_hash", "item_id", "m").agg(F.count("*").alias("n_found"))
     # Pairs that only share other shingles than the signature's can't reach the threshold: the search has proved it.
     exact = counted.filter(F.col("n_found") * 100 >= F.col("m") * percent)
@@ -106,13 +119,15 @@ WITH doc_words AS (
 ), item_words AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
 ), item_shingles AS (
-  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM item_words WHERE len(w) > 0
+  SELECT DISTINCT item_id, least(len(w), 5) AS width, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM item_words WHERE len(w) > 0
 ), sizes AS (
   SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id
+), widths AS (
+  SELECT DISTINCT width FROM item_shingles
 ), doc_shingles AS (
-  SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) AS s FROM doc_words WHERE len(w) >= 5
+  SELECT DISTINCT doc_id, width, unnest([array_to_string(w[i:i + width - 1], ' ') FOR i IN range(1, len(w) - width + 2)]) AS s FROM doc_words, widths WHERE len(w) >= width
 ), held AS (
-  SELECT doc_id, item_id, count(*) AS n_found FROM doc_shingles JOIN item_shingles USING (s) GROUP BY doc_id, item_id
+  SELECT doc_id, item_id, count(*) AS n_found FROM doc_shingles JOIN item_shingles USING (s, width) GROUP BY doc_id, item_id
 )
 SELECT doc_id, item_id, n_found, n_item, n_found / n_item AS containment FROM held JOIN sizes USING (item_id) WHERE 100 * n_found >= 75 * n_item
 """

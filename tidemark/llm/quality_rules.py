@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +85,8 @@ def rules(prefix: str = OWN) -> dict[str, tuple[str, Column, Column]]:
         "symbols": ("symbols", 10 * f("n_symbols") > 2 * n, 20 * f("n_symbols") < n),
         "symbol_words": ("symbols", 10 * f("n_symbol_words") > n, 50 * f("n_symbol_words") < n),
         "repeated_windows": ("repetition", 100 * f("n_repeat_words") > 40 * n, 100 * f("n_repeat_words") < 15 * n),
-        "few_distinct_words": ("repetition", 100 * f("n_distinct") < 25 * F.least(n, F.lit(1000)), 100 * f("n_distinct") > 40 * F.least(n, F.lit(1000))),
+        # Against the root of the length: the share of distinct words falls with the length of any text.
+        "few_distinct_words": ("repetition", f("n_distinct") * f("n_distinct") < 9 * n, f("n_distinct") * f("n_distinct") > 16 * n),
         "capitals": ("shouting", 10 * f("n_caps") > 2 * n, 20 * f("n_caps") < n),
         "exclamation": ("shouting", 10 * f("n_bangs") > 2 * n, 20 * f("n_bangs") < n),
         "copied_lines": ("copied lines", 3 * f("n_dup_lines") > f("n_lines"), 10 * f("n_dup_lines") < f("n_lines")),
@@ -112,25 +114,23 @@ def fit(patterns: dict[int, int], families: list[str], rounds: int = 40, smooth:
 
     families: that of each rule. Class 0 is good; the others are the families in order. A text
     starts in the classes of the rules that reject it, and half in the good one if they are few.
+    All sums are over arrays of patterns x votes.
     """
-    kinds = list(dict.fromkeys(families))
-    rows = [(digits(p, len(families)), n) for p, n in sorted(patterns.items())]
-    total = sum(patterns.values())
-    member = []
-    for v, _ in rows:
-        against = [sum(x == REJECT for x, f in zip(v, families, strict=True) if f == kind) / families.count(kind) for kind in kinds]
-        raw = [max(0.01, 1 - sum(against)), *against]
-        member.append([x / sum(raw) for x in raw])
-    share, table = [], []
+    kinds, n_rules = list(dict.fromkeys(families)), len(families)
+    votes_of = np.array([digits(p, n_rules) for p in sorted(patterns)])
+    n = np.array([patterns[p] for p in sorted(patterns)], float)
+    against = np.column_stack([(votes_of[:, [f == kind for f in families]] == REJECT).mean(axis=1) for kind in kinds])
+    member = np.column_stack([np.maximum(0.01, 1 - against.sum(axis=1)), against])
+    member /= member.sum(axis=1, keepdims=True)
+    cast = (votes_of[:, :, None] == np.arange(3)).reshape(len(n), -1).astype(float)
     for _ in range(rounds):
-        share, table = [], []
-        for c in range(len(kinds) + 1):
-            own = [m[c] * n for m, (_, n) in zip(member, rows, strict=True)]
-            mass = sum(own)
-            share.append((smooth + mass) / (smooth * (len(kinds) + 1) + total))
-            table.append([[(smooth + sum(x for x, (v, _) in zip(own, rows, strict=True) if v[k] == vote)) / (3 * smooth + mass) for vote in (0, 1, 2)] for k in range(len(families))])
-        member = [_member(v, share, table) for v, _ in rows]
-    return share, table
+        mass = member.T @ n
+        share = (smooth + mass) / (smooth * (len(kinds) + 1) + n.sum())
+        table = (smooth + (member * n[:, None]).T @ cast) / (3 * smooth + mass)[:, None]
+        logs = np.log(share) + cast @ np.log(table).T
+        member = np.exp(logs - logs.max(axis=1, keepdims=True))
+        member /= member.sum(axis=1, keepdims=True)
+    return share.tolist(), table.reshape(len(kinds) + 1, n_rules, 3).tolist()
 
 
 def _member(vote: list[int], share: list[float], table: list[list[list[float]]]) -> list[float]:
