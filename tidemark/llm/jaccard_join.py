@@ -7,7 +7,8 @@
 2. Tiles. Sets of sizes a and b link only if they share o = ceil(3 (a + b) / 7) shingles; so the
    first one that they share, in that order, has rank a - o + 1 at most in the one and b - o + 1 in
    the other. A class is filed under its a - ceil(0.75 a) + 1 rarest shingles, with their ranks.
-   Shingles of two classes or more are tiles. The postings travel once, packed, in sorted cells.
+   Shingles of two classes or more that sizes and ranks allow to link are tiles. The postings travel
+   once, packed, in sorted cells.
    What makes near copies differ is rare and comes first, so classes that differ too much share no
    tile, or not at ranks that allow a link.
 3. Stars. In each tile the classes meet one hub: first the class with the largest tiles (of a group
@@ -113,14 +114,49 @@ def prefixes(sets: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> tuple[np
 
 def _packed(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, ranks: np.ndarray, fans: np.ndarray, cells: int) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
-        route = np.where(fans > 1, mix(keys + mix(nodes) % fans.astype(np.uint64) + np.uint64(1)), keys)
+        route = np.where(fans > 1, mix(keys + mix(nodes.view(np.uint64)) % fans.astype(np.uint64) + np.uint64(1)), keys)
     cell = ((route >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int32)
     order = np.lexsort((keys, cell))
-    cell = cell[order]
-    cuts = np.r_[np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell)]
-    columns = [keys[order], nodes[order], sizes[order].astype(np.int32), np.where(fans > 1, -ranks, ranks)[order].astype(np.int32)]
-    bodies = [pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in columns]
-    yield pa.record_batch([pa.array(cell[cuts[:-1]]), *bodies], names=["cell", "keys", "nodes", "sizes", "ranks"])
+    cell, keys, nodes, sizes, ranks = cell[order], keys[order], nodes[order], sizes[order], np.where(fans > 1, -ranks, ranks)[order].astype(np.int32)
+    cuts = np.r_[np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell)].tolist()
+    out = [[], [], [], [], []]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        own, first, which = np.unique(nodes[a:b], return_index=True, return_inverse=True)
+        steps = np.diff(keys[a:b], prepend=np.uint64(0))
+        for column, x in zip(out, (_planes(steps), own.tobytes(), sizes[a:b][first].astype(np.int32).tobytes(), _planes(which.astype(np.int32)), _planes(ranks[a:b])), strict=True):
+            column.append(x)
+    yield pa.record_batch([pa.array(cell[cuts[:-1]]), *[pa.array(x, pa.binary()) for x in out]], names=["cell", "steps", "nodes", "sizes", "which", "ranks"])
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones, ...: the upper ones are mostly zeros, which shuffle files compress."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _numbers(body: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def linkable(key: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which postings, sorted by key, have another one of their key that sizes and ranks allow to link."""
+    keep = np.zeros(len(key), bool)
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    lengths = np.diff(np.r_[starts, len(key)])
+    for length in np.unique(lengths[lengths > 1]).tolist():
+        if length > 64:  # all stay: the stars and bands decide
+            at = starts[lengths == length][:, None] + np.arange(length)
+            keep[at] = True
+            continue
+        at = starts[lengths == length][:, None] + np.arange(length)
+        for a in range(length):
+            for b in range(a):
+                x, y = at[:, a], at[:, b]
+                least = -(-3 * (n[x] + n[y]) // 7)
+                fits = (4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])) & (place[x] <= n[x] - least + 1) & (place[y] <= n[y] - least + 1)
+                keep[x[fits]] = True
+                keep[y[fits]] = True
+    return keep
 
 
 def _postings(table, middle: int, cells: int):
@@ -141,7 +177,7 @@ def _postings(table, middle: int, cells: int):
                 new = fresh[row]
                 row = row[new]
                 fans = np.maximum(1, -(-(counts[new] - middle) // HEAVY))
-                held.append((keys[new], nodes[row].view(np.uint64), np.diff(rows)[row], rank[new], fans))
+                held.append((keys[new], nodes[row], np.diff(rows)[row], rank[new], fans))
                 size += len(row)
                 if size >= PACK:
                     yield from _packed(*(np.concatenate(x) for x in zip(*held, strict=True)), cells)
@@ -153,17 +189,25 @@ def _postings(table, middle: int, cells: int):
 
 
 def _tiles(table: pa.Table) -> pa.Table:
-    """(key, node, n, place) of a cell's postings whose key has several nodes, or is heavy; each once."""
-    whole = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    keys, nodes, sizes, ranks = whole("keys", np.uint64), whole("nodes", np.int64), whole("sizes", np.int32), whole("ranks", np.int32)
+    """(key, node, n, place) of a cell's postings, each once, whose key has another node that may link, or is heavy."""
+    parts = []
+    for row in table.to_batches():
+        for steps, own, size, which, ranks in zip(*(row.column(name) for name in ("steps", "nodes", "sizes", "which", "ranks")), strict=True):
+            of = _numbers(which.as_buffer(), np.int32)
+            with np.errstate(over="ignore"):
+                keys = np.cumsum(_numbers(steps.as_buffer(), np.uint64), dtype=np.uint64)
+            parts.append((keys, np.frombuffer(own.as_buffer(), np.int64)[of], np.frombuffer(size.as_buffer(), np.int32)[of], _numbers(ranks.as_buffer(), np.int32)))
+    keys, nodes, sizes, ranks = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
     order = np.lexsort((nodes, keys))
     keys, nodes, sizes, ranks = keys[order], nodes[order], sizes[order], ranks[order]
+    once = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])]
+    keys, nodes, sizes, ranks = keys[once], nodes[once], sizes[once].astype(np.int64), ranks[once].astype(np.int64)
     same = keys[1:] == keys[:-1]
-    once = np.r_[True, ~(same & (nodes[1:] == nodes[:-1]))]
-    keys, nodes, sizes, ranks = keys[once], nodes[once], sizes[once], ranks[once]
-    same = keys[1:] == keys[:-1]
-    keep = np.r_[same, False] | np.r_[False, same] | (ranks < 0)
-    return pa.table({"key": keys[keep].view(np.int64), "node": nodes[keep], "n": sizes[keep].astype(np.int64), "place": np.abs(ranks[keep]).astype(np.int64)})
+    several = np.r_[same, False] | np.r_[False, same]
+    keep = ranks < 0
+    keep[several] |= linkable(keys[several], sizes[several], np.abs(ranks[several]))
+    return pa.table({"key": keys[keep].view(np.int64), "node": nodes[keep], "n": sizes[keep], "place": np.abs(ranks[keep])})
 
 
 def signature(own: np.ndarray) -> bytes:
@@ -360,7 +404,7 @@ def _tiled(docs: DataFrame, sized: DataFrame) -> DataFrame:
     shingles = sized.filter("chunk IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     cells = 1 + shingles // (4 * CELL)
     run = _postings(spark.sparkContext.broadcast(counters), int(np.median(counters)), cells)
-    packed = docs.select("text").mapInArrow(run, "cell int, keys binary, nodes binary, sizes binary, ranks binary")
+    packed = docs.select("text").mapInArrow(run, "cell int, steps binary, nodes binary, sizes binary, which binary, ranks binary")
     return materialize(packed.groupBy("cell").applyInArrow(_tiles, "key long, node long, n long, place long"))
 
 
