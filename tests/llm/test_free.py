@@ -209,6 +209,30 @@ def test_targets():
     assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0}
 
 
+def reshared(sizes, share=1.5, most=2.0):
+    """Targets by brute force: give out the words in small steps by weight, none over its cap."""
+    order = sorted(s for s in sizes if s is not None) + [s for s in sizes if s is None]
+    weight = {s: (5.0, 2.0, 1.0)[k % 3] for k, s in enumerate(order)}
+    low, high = 0.0, 2.0 * most * sum(sizes.values()) + 1
+    for _ in range(200):
+        level = (low + high) / 2
+        given = sum(min(most * sizes[s], level * weight[s]) for s in order)
+        low, high = (level, high) if given < share * sum(sizes.values()) else (low, level)
+    return {s: min(most * sizes[s], high * weight[s]) for s in order}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_against_bisection(spark, seed):
+    rng = random.Random(seed)
+    names = [None, *rng.sample(["", "a", "B", "é", "zz", "Z", "src10", "src2", "\U0001f600", "ﬀ"], 1 + 3 * seed)]
+    sizes = {s: rng.choice([0, 3, rng.randint(1, 100), rng.randint(1, 10**6)]) for s in names}
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.target_table(rows).collect()}
+    expected = reshared(sizes)
+    for s in sizes:
+        assert got[s] == pytest.approx(expected[s], rel=1e-6, abs=1e-6) == pytest.approx(mixing.targets(sizes)[s], rel=1e-6, abs=1e-6)
+
+
 def test_flight_and_landing():
     rng = np.random.default_rng(0)
     size = rng.integers(1, 500, 400)
@@ -336,6 +360,53 @@ def test_extract_without_head_end_and_body():
     assert texts(page) == ["Let x=2 be.", "No script.", "An object.", "A film.", "A song."]
 
 
+#: Layouts of other kinds than the model's templates; blocks labelled by hand: + content, - other.
+LAYOUTS = [
+    """<body><div id=page><div class="hd"><a href=/>- Daily</a></div><div class="primary-navigation"><a href=1>- News</a> <a href=2>Sport</a></div>
+    <div id=x><div><p>+ The council met on Monday and talked about the bridge for hours.</p><p>+ It will be rebuilt next year, they said, if money is found.</p></div></div>
+    <div class="ft">- © 2024 Daily · All rights</div></div></body>""",
+    """<body><article class="post tags"><h1>+ A tagged post</h1><p>+ Its first paragraph is quite long and tells a story about a small boat.</p><p>+ Short one.</p></article>
+    <section class="comments-area"><article class="comment"><p>- I like this post a lot, thank you for writing it down.</p></article></section></body>""",
+    """<body class="home blog sidebar-left"><header class="site-header"><h1>- Site</h1></header><main id="primary"><div class="entry-header"><h2>- By someone</h2></div>
+    <div class="entry-content"><p>+ Growing tomatoes needs sun, water and a little patience every day.</p><ul><li>+ Sun</li><li>+ Water</li></ul><figure><img><figcaption>+ A tomato in June.</figcaption></figure>
+    <div class="newsletter-signup"><p>- Get our letter every week.</p></div><p>+ In autumn the plants are cut back.</p></div></main>
+    <aside class="widget-area"><h3>- Popular</h3><ul><li><a href=1>- Ten ways to cook</a></li></ul></aside><footer>- Contact us</footer></body>""",
+    """<head><title>t</title><p>+ No body tag here, and no end of the head; the text goes on for a while.<p>+ A second paragraph that is not closed either, as is allowed.""",
+    """<div class=wrapper><ul class="breadcrumbs"><li><a href=1>- Home</a><li><a href=2>- Articles</a></ul><div class="main-content"><h1>+ Rivers</h1><blockquote>+ All rivers run to the sea.</blockquote>
+    <p>+ The formula <math><mi>v</mi><mo>=</mo><mn>3</mn></math> holds for <svg><text>small</text></svg> rivers, with <b>few</b> bends.</p><pre>+ code here</pre>
+    <table><tr><td>+ Elbe</td><td>+ 1094</td></tr></table></div><div id="cookiebanner"><p>- This site uses cookies to work.</p></div><form><label>- Search</label></form></div>""",
+    """<body><nav><a href=1>- A</a><a href=2>B</a></nav><section><h2>+ Opening</h2><p>+ Once there was a king who had three daughters and no money at all.</p></section>
+    <section><h2>+ Ending</h2><p>+ They all lived well until the money came back, and then they did not.</p></section><div class="sponsored-box">- Buy shoes now</div><footer><small>- © The king</small></footer></body>""",
+]
+
+
+def test_extract_hand_labelled_layouts():
+    model, right, total = html_extract.default_model(), 0, 0
+    for page in LAYOUTS:
+        blocks = html_extract.blocks_of(page)
+        decoded = model.decode(html_extract.features([(p, text[2:] if text[:2] in ("+ ", "- ") else text, n, leaf) for p, text, n, leaf in blocks]))
+        for (_, text, _, _), keep in zip(blocks, decoded, strict=True):
+            assert text[0] in "+-", text
+            total += 1
+            right += keep == (text[0] == "+")
+            if keep != (text[0] == "+"):
+                print(text, keep)
+    assert total >= 39 and right >= 0.95 * total
+    texts = [text for _, text, _, _ in html_extract.blocks_of(LAYOUTS[4])]
+    assert "+ The formula v=3 holds for small rivers, with few bends." in texts
+
+
+def test_extract_cases(spark):
+    html = "<canvas>In a canvas.</canvas><iframe>In a frame.</iframe>"
+    assert [x[1] for x in html_extract.blocks_of(html)] == ["In a canvas.", "In a frame."]
+    pages = spark.createDataFrame([(1, None, "u"), (1, "<article><p>Some words.</p></article>", None), (1, "<article><p>Some words.</p></article>", None)], "page_id long, html string, url string").selectExpr("*", "'q' AS text", "2 AS body")
+    assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_extract.extract(pages).collect()) == [(1, "", 0), (1, "Some words.", 11), (1, "Some words.", 11)]
+    assert html_extract.extract(pages, ("page_id", "body")).columns == ["page_id", "body", "text", "n_chars"]
+    with pytest.raises(ValueError, match="text"):
+        html_extract.extract(pages, ("page_id", "text"))
+    assert html_extract.extract(pages.limit(0)).count() == 0
+
+
 def test_extract_held_out():
     """Pages of another seed: the model has not seen them."""
     model = html_extract.default_model()
@@ -383,6 +454,52 @@ def test_toxicity_held_out(spark):
     assert all(r["toxic"] or r["p_toxic"] < 0.5 for r in out)
 
 
+def test_chain_by_hand():
+    """Each model by plain gradient descent, on out-of-fold probabilities that are worked out row by row."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 2))
+    goals = [(rng.random(60) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(float), (rng.random(60) < 1 / (1 + np.exp(-x[:, 1]))).astype(float)]
+
+    def descend(rows, y):
+        w = np.zeros(rows.shape[1])
+        for _ in range(20_000):
+            p = 1 / (1 + np.exp(-rows @ w))
+            w += 0.01 * (rows.T @ (y - p) - np.append(np.ones(len(w) - 1), 1e-6) * w)
+        return w
+
+    full = np.column_stack([x, np.ones(60)])
+    earlier = np.zeros(60)
+    for k in range(60):
+        others = [j for j in range(60) if j % toxicity.FOLDS != k % toxicity.FOLDS]
+        if k < toxicity.FOLDS:
+            by_fold = {} if not k else by_fold
+            by_fold[k] = descend(full[others], goals[0][others])
+        earlier[k] = 1 / (1 + np.exp(-full[k] @ by_fold[k % toxicity.FOLDS]))
+    expected = [descend(full, goals[0]), descend(np.column_stack([x, earlier, np.ones(60)]), goals[1])]
+    for got, w in zip(toxicity.chained(x, goals), expected, strict=True):
+        assert np.allclose(got, w, atol=1e-3)
+
+
+def test_kinds():
+    """Clusters of made-up kinds of texts, the larger first."""
+    rng = np.random.default_rng(5)
+    x = np.zeros((90, 12))
+    kind = np.arange(90) % 3 == 0  # a third
+    x[kind, :6], x[~kind, 6:] = rng.random((30, 6)), rng.random((60, 6))
+    assert np.array_equal(toxicity.kinds_of(x), kind.astype(int))
+    assert toxicity.kinds_of(x[:1]).tolist() == [0] and len(toxicity.kinds_of(x[:0])) == 0
+
+
+def test_toxicity_of_several_labels(spark):
+    docs = spark.createDataFrame([(k, "you idiot moron" if k % 3 == 0 else "utter trash here" if k % 3 == 1 else "a fine day") for k in range(60)], DOC)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0), int(k % 3 == 1), int(k % 3 < 2)) for k in range(60)], "doc_id long, insult int, contempt int, toxic int")
+    chain = toxicity.train(docs, labels, label=("insult", "contempt", "toxic"))
+    out = toxicity.score(docs, chain)
+    assert out.columns == ["doc_id", "p_insult", "p_contempt", "p_toxic", "toxic"]
+    for r in out.collect():
+        assert [r["p_insult"] > 0.5, r["p_contempt"] > 0.5, r["toxic"]] == [r["doc_id"] % 3 == 0, r["doc_id"] % 3 == 1, r["doc_id"] % 3 < 2]
+
+
 def test_toxicity_cases(spark):
     docs = spark.createDataFrame([(0, None), (1, ""), (2, "you idiot moron trash"), (3, "a fine day"), (3, "a fine day")], DOC).selectExpr("*", "1 AS toxic")
     none = spark.createDataFrame([(9, 1), (None, 1), (2, None)], "doc_id long, toxic int")

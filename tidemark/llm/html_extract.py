@@ -7,14 +7,19 @@ page is that of its content blocks, white space collapsed, joined by blank lines
 
 The CRF is trained by gradient descent on the log-likelihood (forward-backward), on labelled pages.
 No table carries labels for blocks, so the pages are written here: `labelled_pages` builds them from
-templates (article containers, menus, headers, footers, sidebars, notices, adverts, forms, comments)
-and knows the label of every block. The seed and the number of pages are parameters; training takes
-about a second, on the driver, and the weights travel with the task.
+templates (article containers, menus, headers, footers, sidebars, notices, adverts, forms, comments,
+each also without a telling tag or name) and knows the label of every block. Their classes and ids
+are not the words of the features. The seed and the number of pages are parameters; training takes
+a few seconds, on the driver, and the weights travel with the task.
+
+No single name decides: the tags article and main stand for content whatever their classes say
+(unless these speak of comments), a class that says content outweighs another one of the same
+element, and text features and neighbours count too.
 
 Cases: null and empty html give empty text; text outside of any tag is a block; unclosed and
 misnested tags are closed by their parents; scripts, styles, templates and comments are no text;
 repeated rows are extracted alike; an empty table gives an empty result; very long pages are taken
-whole; other columns are not carried.
+whole; other columns are not carried, and a carried one can't be called text or n_chars (ValueError).
 """
 
 from __future__ import annotations
@@ -30,14 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read_table
+from tidemark.llm.common import OWN, read_table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img"
-    " math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mtable mtr mtd mfenced semantics".split()
+    " math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mtable mtr mtd mfenced semantics"
+    " picture svg g path text tspan circle ellipse rect line polyline polygon use defs symbol".split()
 )
-SILENT = frozenset("script style template head title svg select textarea iframe canvas".split())
+SILENT = frozenset("script style template head title select textarea desc metadata".split())
 #: What may stand in a head; its end tag and <body> may be left out.
 IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 #: Open tags that a new block element closes.
@@ -146,27 +152,57 @@ HINTS = {
     "main": "article main content entry post story body-text",
 }
 _HINT = {w: k for k, words in HINTS.items() for w in words.split()}
+#: Longer words count within others too (sitenavigation, cookiebar).
+_STEMS = tuple((w, k) for w, k in _HINT.items() if len(w) >= 6 and k != "main") + (("navig", "menu"), ("cookie", "notice"), ("foot", "foot"))
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+def _kinds(name: str) -> set[str]:
+    """What a class or id says; a name that says content and something else says the latter (post-header)."""
+    own = {_HINT[w] for w in (name, *_SPLIT.split(name)) if w in _HINT} or {k for w, k in _STEMS if w in name}
+    return own - {"main"} or own
+
+
+@functools.lru_cache(maxsize=20_000)
+def _element(part: str) -> tuple[frozenset, bool]:
+    """(what an open tag hints at, whether it holds content)."""
+    tag, _, marks = part.partition(".")
+    names = [_kinds(x) for x in marks.split()]
+    said = set().union(*names)
+    if tag in ("article", "main"):
+        return (frozenset({"comment"}), False) if said == {"comment"} else (frozenset({"main"}), True)
+    if tag in ("body", "html"):
+        return frozenset(said & {"main"}), False
+    if tag in _HINT:
+        return frozenset({_HINT[tag]}), False
+    return (frozenset({"main"}), True) if "main" in said else (frozenset(said), False)
+
+
 @functools.lru_cache(maxsize=20_000)
-def _path_features(path: tuple[str, ...]) -> tuple[str, ...]:
-    out = {"leaf=" + (path[-1].split(".")[0] if path else "")}
+def _path_features(path: tuple[str, ...]) -> tuple[tuple[str, ...], bool]:
+    """(features of the open tags, whether they hold content)."""
+    out, inside = {"leaf=" + (path[-1].split(".")[0] if path else "")}, False
     for part in path:
-        tag, _, marks = part.partition(".")
-        out.add("in=" + tag)
-        for word in (tag, *_SPLIT.split(marks), *marks.split()):
-            if word in _HINT and not (tag in ("body", "html") and _HINT[word] != "main"):
-                out.add("hint=" + _HINT[word])
-    return tuple(sorted(out))
+        hints, holds = _element(part)
+        inside |= holds
+        out.add("in=" + part.partition(".")[0])
+        out |= {"hint=" + k for k in hints}
+    return tuple(sorted(out)), inside
 
 
-def features(block: tuple[tuple[str, ...], str, int, str]) -> list[str]:
-    path, text, linked, _ = block
-    words = text.count(" ") + 1
-    share = linked / max(1, len(text))
-    size = "1" if words < 2 else "4" if words < 5 else "10" if words < 11 else "25" if words < 26 else "more"
-    return ["base", *_path_features(path), f"words={size}", "links=" + ("most" if share > 0.6 else "some" if share > 0.1 else "none"), "stop=" + str(text[-1] in ".!?…\"'”»"), "sign=" + str("©" in text or "·" in text)]
+def features(blocks: list[tuple[tuple[str, ...], str, int, str]]) -> list[list[str]]:
+    """The features of a page's blocks."""
+    paths = [_path_features(path) for path, *_ in blocks]
+    known = any(inside for _, inside in paths)
+    out = []
+    for (own, inside), (_, text, linked, _) in zip(paths, blocks, strict=True):
+        words = text.count(" ") + 1
+        share = linked / max(1, len(text))
+        size = "1" if words < 2 else "4" if words < 5 else "10" if words < 11 else "25" if words < 26 else "more"
+        place = "inside" if inside else "outside" if known else "unknown"
+        links = "most" if share > 0.6 else "some" if share > 0.1 else "none"
+        out.append(["base", *own, f"place={place}", f"place={place} words={size}", f"place={place} links={links}", "stop=" + str(text[-1] in ".!?…\"'”»"), "sign=" + str("©" in text or "·" in text)])
+    return out
 
 
 class Crf:
@@ -206,7 +242,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 60, rate: float = 0.5, ridge: float = 1e-3) -> Crf:
+def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 40, rate: float = 0.5, ridge: float = 1e-3) -> Crf:
     """Adagrad on the penalised log-likelihood of (features, labels) sequences."""
     names = {x: k for k, x in enumerate(sorted({x for rows, _ in pages for row in rows for x in row}))}
     crf = Crf(names, np.zeros((len(names), 2)), np.zeros((2, 2)), np.zeros(2))
@@ -244,10 +280,21 @@ def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 60, rate
 CONTENT, OTHER = "\x02", "\x03"  # marks in labelled pages, before a block's text
 
 
-def labelled_pages(n: int = 160, seed: int = 7) -> list[str]:
+def labelled_pages(n: int = 320, seed: int = 7) -> list[str]:
     """Pages from templates, where CONTENT or OTHER starts the text of every block."""
     rng = random.Random(seed)
     syllables = "ta re on mi lu ver den sch ci ment ou and the ra ko pel is qu en".split()
+    plain = "x wrap box inner col-8 row grid layer unit page-1 holder t3 sec panel"
+    names = {
+        "menu": "site-menu-2 topnav mainnavigation menubar js-menu " + plain,
+        "head": "pageheader site-header-wrap brand " + plain,
+        "foot": "footnote-bar pagefoot site-footer__inner imprint " + plain,
+        "side": "sidebar-2 relatedposts social-bar share-this widgetarea newsletterbox promo-2 rightcol",
+        "ad": "advertising ad-slot-3 sponsoredlinks",
+        "notice": "cookiebar consentbox js-notice popupbox",
+        "comment": "commentlist usercomments reply-box discussionlist",
+        "main": "story-text post-body entry_content articlebody maincontent text-wrap",
+    }
 
     def words(a: int, b: int) -> str:
         return " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(rng.randint(a, b)))
@@ -259,8 +306,8 @@ def labelled_pages(n: int = 160, seed: int = 7) -> list[str]:
     def link(mark: str = OTHER) -> str:
         return f'<a href="/{words(1, 1)}">{text(mark, 1, 3)}</a>'
 
-    def named(tag: str, names: str, body: str) -> str:
-        marks = rng.choice(names.split())
+    def named(tag: str, kind: str, body: str) -> str:
+        marks = rng.choice(names[kind].split())
         return rng.choice([f'<{tag} class="{marks}">', f'<{tag} id="{marks}">', f'<{tag} class="x {marks}">']) + body + f"</{tag}>"
 
     def paragraphs(k: int) -> str:
@@ -287,26 +334,31 @@ def labelled_pages(n: int = 160, seed: int = 7) -> list[str]:
     def aside() -> str:
         return rng.choice(
             [
-                lambda: named("div", HINTS["ad"], rng.choice([text(OTHER, 1, 25), f"<p>{text(OTHER, 3, 25)}</p>"])),
-                lambda: named("div", HINTS["notice"], f"<p>{text(OTHER, 4, 30)}</p>"),
-                lambda: named("div", HINTS["side"], f"<h3>{text(OTHER, 1, 3)}</h3><p>{text(OTHER, 3, 30)}</p>"),
+                lambda: named("div", "ad", rng.choice([text(OTHER, 1, 25), f"<p>{text(OTHER, 3, 25)}</p>"])),
+                lambda: named("div", "notice", f"<p>{text(OTHER, 4, 30)}</p>"),
+                lambda: named("div", "side", f"<h3>{text(OTHER, 1, 3)}</h3><p>{text(OTHER, 3, 30)}</p>"),
                 lambda: "<aside>" + f"<p>{text(OTHER, 3, 40)}</p><ul><li>{link()}</li><li>{link()}</li></ul>" + "</aside>",
                 lambda: f"<form><label>{text(OTHER, 1, 3)}</label><input name=q><button>{text(OTHER, 1, 1)}</button></form>",
-                lambda: named("div", HINTS["menu"], "".join(link() for _ in range(4))),
-                lambda: named("section", HINTS["comment"], f"<p>{text(OTHER, 3, 40)}</p><div>{text(OTHER, 2, 30)}</div>"),
+                lambda: named("div", "menu", "".join(link() for _ in range(4))),
+                lambda: named("section", "comment", f"<p>{text(OTHER, 3, 40)}</p><div>{text(OTHER, 2, 30)}</div>"),
             ]
         )()
 
     out = []
     for _ in range(n):
         menu = "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.randint(2, 7))) + "</ul>"
-        head = rng.choice([f"<nav>{menu}</nav>", f"<header><h1>{text(OTHER, 1, 4)}</h1><nav>{menu}</nav></header>", named("div", HINTS["menu"], menu), named("div", HINTS["head"], text(OTHER, 1, 5) + menu)])
+        head = rng.choice([f"<nav>{menu}</nav>", f"<header><h1>{text(OTHER, 1, 4)}</h1><nav>{menu}</nav></header>", named("div", "menu", menu), named("div", "head", text(OTHER, 1, 5) + menu)])
         body = f"<h1>{text(CONTENT, 1, 10)}</h1>" + paragraphs(rng.randint(1, 9))
-        if rng.random() < 0.3:
+        if rng.random() < 0.5:
             body += aside() + paragraphs(rng.randint(1, 3))
-        body = rng.choice([f"<article>{body}</article>", f"<article>{body}</article>", f"<main>{body}</main>", named("div", "content entry post story", body), f"<main><article>{body}</article></main>"])
-        foot = rng.choice([f"<footer>{text(OTHER, 1, 12)}</footer>", f"<footer>&copy; {text(OTHER, 1, 2)} &middot; {words(3, 12)}</footer>", f"<footer><p>{text(OTHER, 3, 12)}</p>{link()}</footer>", named("div", HINTS["foot"], f"&copy; {text(OTHER, 2, 10)}")])
-        comments = named(rng.choice(["section", "div"]), HINTS["comment"], "".join(f"<p>{text(OTHER, 3, 50)}</p>" for _ in range(rng.randint(1, 4)))) if rng.random() < 0.35 else ""
+        plain_body = body
+        held = rng.choice([f"<article>{body}</article>", f"<article><section>{body}</section></article>", f'<article class="post tag-{words(1, 1)}">{body}</article>', f"<main>{body}</main>", named("div", "main", body), f"<main><article>{body}</article></main>"])
+        body = held
+        if rng.random() < 0.3:  # nothing says where the content is
+            body = plain_body
+            body = rng.choice([f"<section>{body}</section><section><h2>{text(CONTENT, 1, 6)}</h2>{paragraphs(rng.randint(1, 4))}</section>", f'<div id=x><div>{body}</div></div>', f'<div class="{rng.choice(plain.split())}">{body}</div>', body])
+        foot = rng.choice([f"<footer>{text(OTHER, 1, 12)}</footer>", f"<footer>&copy; {text(OTHER, 1, 2)} &middot; {words(3, 12)}</footer>", f"<footer><p>{text(OTHER, 3, 12)}</p>{link()}</footer>", named("div", "foot", f"&copy; {text(OTHER, 2, 10)}")])
+        comments = named(rng.choice(["section", "div"]), "comment", "".join(f"<p>{text(OTHER, 3, 50)}</p>" for _ in range(rng.randint(1, 4)))) if rng.random() < 0.35 else ""
         out.append(f"<!DOCTYPE html><html><head><title>{words(2, 6)}</title></head><body>{head}{aside() if rng.random() < 0.8 else ''}{body}{comments}{aside() if rng.random() < 0.4 else ''}{foot}</body></html>")
     return out
 
@@ -317,8 +369,8 @@ def examples(pages: list[str]) -> list[tuple[list[list[str]], list[int]]]:
         rows, labels = [], []
         for path, text, linked, leaf in blocks_of(page):
             labels.append(int(CONTENT in text))
-            rows.append(features((path, text.replace(CONTENT, "").replace(OTHER, "") or "x", linked, leaf)))
-        out.append((rows, labels))
+            rows.append((path, text.replace(CONTENT, "").replace(OTHER, "") or "x", linked, leaf))
+        out.append((features(rows), labels))
     return out
 
 
@@ -329,7 +381,7 @@ def default_model() -> Crf:
 
 def extract_text(html: str | None, crf: Crf) -> str:
     blocks = blocks_of(html)
-    keep = crf.decode([features(b) for b in blocks])
+    keep = crf.decode(features(blocks))
     return "\n\n".join(text for (_, text, _, _), k in zip(blocks, keep, strict=True) if k)
 
 
@@ -344,7 +396,10 @@ def _extract(crf: Crf):
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html: str = "html", crf: Crf | None = None) -> DataFrame:
     """(keep..., text, n_chars): one row for each row of pages."""
-    rows = pages.select(*keep, F.col(html).cast("string"))
+    taken = [c for c in keep if c in ("text", "n_chars")]
+    if taken:
+        raise ValueError(f"{taken} would stand twice in the result: rename them first")
+    rows = pages.select(*keep, F.col(html).cast("string").alias(f"{OWN}html"))
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(_extract(crf or default_model()), f"{fields}, text string, n_chars long")
 

@@ -14,14 +14,15 @@ fewer groups, until one group a source lands. Each level is written to the share
 
 Cases: null or wordless texts have size 0 and are never taken; a null source is a source of its own,
 the last; repeated rows are separate documents (ordered by id, size and a hash of the text); a
-source of one document, or an empty table, works. Reruns agree: every random choice is a hash.
+source of one document, or an empty table, works; `taken_documents` puts its own size, target, taken
+and copies in place of columns of these names. Reruns agree: every random choice is a hash.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import OWN, WORD, materialize, read_table
@@ -30,9 +31,9 @@ WEIGHTS = (5.0, 2.0, 1.0)
 EPS = 1e-9
 #: Documents of a source that the flight leaves to the landing, besides the two that it can't decide.
 LAND = 12
-#: Sources are a setting (each has a weight), so their totals may meet on the driver; up to this many.
-MAX_SOURCES = 1_000_000
 BROADCAST_ROWS = 300_000
+#: Up to so many sources their totals are broadcast.
+BROADCAST_SOURCES = 100_000
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> dict[str | None, float]:
@@ -114,33 +115,58 @@ def _fly(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.assign(**{f"{OWN}p": landing(p, size) if groups == 1 else p})
 
 
+def target_table(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """(source, source_no, source_size, target) of (source, source_size), as `targets` says, for any number of sources.
+
+    Capped are the sources of the least cap per weight: each is tried at the level that is left when
+    those below it are capped, and the first that isn't capped there sets the level of all others.
+    """
+    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    own = sizes.withColumn("source_no", place).withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), F.col("source_no") % len(weights)))
+    own = own.withColumn("cap", most * F.col("source_size")).withColumn("per", F.col("cap") / F.col("weight"))
+    order = Window.orderBy("per", "source_no")
+    below = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    above = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    every = sizes.agg((share * F.sum("source_size")).alias("every"))
+    tried = own.withColumn("below", below).withColumn("above", above).withColumn("nth", F.row_number().over(order))
+    tried = tried.crossJoin(F.broadcast(every)).withColumn("level", (F.col("every") - F.col("below")) / F.col("above"))
+    level = tried.filter("level <= per").agg(F.min_by("level", "nth").alias("level"))
+    goal = F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("weight")))
+    return own.crossJoin(F.broadcast(level)).select("source", "source_no", "source_size", goal.alias("target"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, a row a source, broadcast while it has few rows."""
+    return F.broadcast(df) if df.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else df
+
+
 def balanced(docs: DataFrame, group_rows: int = 2_000) -> DataFrame:
     """docs has OWN + row, source_no, size, order, p. All rows come back with p 0 or 1.
 
     A source lands at the level where it has one group, whatever the others have.
     """
-    counts = {r[0]: r[1] for r in docs.groupBy(f"{OWN}source_no").count().collect()}
-    if not counts:
-        return docs
-    done, level, before = None, 0, {}
+    no, groups = f"{OWN}source_no", f"{OWN}groups"
+    done, level = None, 0
+    docs = docs.withColumn(groups, F.lit(None).cast("long"))
     while True:
         # A group can leave more open than it decides (tiny group_rows): then the next level has fewer groups still.
-        groups = {s: min(max(1, -(-n // group_rows)), max(1, before.get(s, n + 1) // 2)) for s, n in counts.items()}
-        last = max(groups.values()) == 1
-        spread = F.element_at(F.create_map(*[F.lit(x) for s in groups for x in (s, groups[s])]), F.col(f"{OWN}source_no"))
-        dealt = docs.withColumn(f"{OWN}groups", spread.cast("long")).withColumn(f"{OWN}group", F.pmod(F.xxhash64(f"{OWN}order", F.lit(level)), F.col(f"{OWN}groups")))
-        flown = dealt.groupBy(f"{OWN}source_no", f"{OWN}group").applyInPandas(_fly, dealt.schema).drop(f"{OWN}group", f"{OWN}groups")
-        if last and done is None:
-            return flown
+        counts = docs.groupBy(no).agg(F.count("*").alias("n"), F.max(groups).alias("before"))
+        fewer = F.greatest(F.lit(1), F.floor(F.coalesce("before", F.col("n") + 1) / 2))
+        counts = materialize(counts.select(no, F.least(F.ceil(F.col("n") / group_rows), fewer).cast("long").alias(groups)))
+        most = counts.agg(F.max(groups)).first()[0]
+        if most is None:
+            return docs.drop(groups) if done is None else done
+        dealt = docs.drop(groups).join(_small(counts), no).withColumn(f"{OWN}group", F.pmod(F.xxhash64(f"{OWN}order", F.lit(level)), F.col(groups)))
+        flown = dealt.groupBy(no, f"{OWN}group").applyInPandas(_fly, dealt.schema).drop(f"{OWN}group")
+        if most == 1 and done is None:
+            return flown.drop(groups)
         flown = materialize(flown)
         shut = F.col(f"{OWN}p").isin(0.0, 1.0)
-        done = flown.filter(shut) if done is None else done.unionByName(flown.filter(shut))
-        if last:
-            return done
-        docs, level, before = flown.filter(~shut), level + 1, groups
-        counts = {r[0]: r[1] for r in docs.groupBy(f"{OWN}source_no").count().collect()}
-        if not counts:
+        ended = flown.filter(shut).drop(groups)
+        done = ended if done is None else done.unionByName(ended)
+        if most == 1:
             return done
+        docs, level = flown.filter(~shut), level + 1
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -152,14 +178,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         F.xxhash64(F.col(text)).alias(f"{OWN}hash"),
     )
     sized = materialize(sized)
-    totals = {r[0]: r[1] for r in sized.groupBy(f"{OWN}source").agg(F.sum(f"{OWN}size")).limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"over {MAX_SOURCES} sources: they are no setting")
-    goal = targets(totals, weights, share, most)
-    order = list(goal)
-    rows = [(s, k, totals[s], goal[s], goal[s] / totals[s] if totals[s] else 0.0) for k, s in enumerate(order)]
-    own = docs.sparkSession.createDataFrame(rows, f"s string, {OWN}source_no int, {OWN}source_size long, {OWN}target double, {OWN}rate double")
-    own = F.broadcast(own) if len(rows) <= 100_000 else own
+    totals = sized.groupBy(F.col(f"{OWN}source").alias("source")).agg(F.sum(f"{OWN}size").alias("source_size"))
+    goal = materialize(target_table(totals, weights, share, most))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    own = _small(goal.select(F.col("source").alias("s"), *[F.col(c).alias(OWN + c) for c in ("source_no", "source_size", "target")], rate.alias(f"{OWN}rate")))
     units = sized.join(own, F.col(f"{OWN}source").eqNullSafe(F.col("s")), "inner").drop("s")
     whole = F.floor(F.col(f"{OWN}rate") + EPS)
     units = units.select(

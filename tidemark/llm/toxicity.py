@@ -1,14 +1,14 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted one after the other: `insult` (names for people), `contempt` (words that
-belittle), then `toxic`, the label itself. A category's linear model sees how often the text has
-each of a few hundred telling words or beginnings of words (inflected languages have many forms of
-one stem), and the probabilities of all earlier categories. In training, those probabilities are
-out-of-fold predictions, so that a later model learns how far it can trust the earlier ones on texts
-they have not seen.
+Categories are predicted one after the other: kinds of toxic texts, then `toxic`, the label itself. A
+category's linear model sees how often the text has each of a few hundred telling words or beginnings
+of words (inflected languages have many forms of one stem), and the probabilities of all earlier
+categories. In training, those probabilities are out-of-fold predictions, so that a later model
+learns how far it can trust the earlier ones on texts they have not seen.
 
-The labels say only toxic or not; a text counts as an example of `insult` or `contempt` if it is
-labelled toxic and has a word of that category's list.
+Labels may have several columns: then the chain predicts them in the order given. Where there is only
+one, toxic or not, its kinds come from the data: the labelled toxic texts are clustered (spherical
+k-means over their telling words, weighted by rarity), and each cluster is a category.
 
 Training takes the MAX_LABELLED labelled documents with the least hash of their id; they are scored
 on the driver. The model (under 20 kB) then scores all documents where they lie: no shuffle.
@@ -17,7 +17,8 @@ Cases: a null or empty text has no words and gets the models' base rates; labels
 or with nulls, are left out; a document with several labels counts as often; without labelled rows
 all probabilities are null; without rows of both classes a model is its base rate; ties in the
 choice of rows or words go by hash; repeated rows are scored alike; an empty table gives an empty
-result; very long texts count in whole; other columns are not carried.
+result; very long texts count in whole; other columns are not carried; labels are compared with 0, a
+label that is null leaves its row out; one id with several texts is several examples.
 """
 
 from __future__ import annotations
@@ -33,23 +34,19 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 from tidemark.llm.shingles import LETTERS, mix, slices, word_hashes
 
+#: So many labelled documents at most are learnt from (a parameter of `train`).
 MAX_LABELLED = 8_000
+#: Kinds of toxic texts, where there is one label only.
+KINDS = 2
 N_WORDS = 400
 #: Bytes of the beginnings of words that count, besides whole words.
 PREFIXES = (0, 6, 7, 8)
 FOLDS = 5
 BUCKET_BITS = 18
 
-#: Words that tell the first two categories apart.
-CATEGORIES = {
-    "insult": ("clown", "idiot", "loser", "moron", "scum"),
-    "contempt": ("disgusting", "pathetic", "stupid", "trash", "worthless"),
-}
-NAMES = (*CATEGORIES, "toxic")
-
-
 @dataclass
 class Chain:
+    names: tuple[str, ...]  # of the categories
     buckets: np.ndarray  # of the words that count
     weights: list[np.ndarray]  # by category: the words', the earlier categories', the base
 
@@ -99,13 +96,8 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(buckets), np.concatenate(of)
 
 
-def _buckets_of(words: tuple[str, ...]) -> np.ndarray:
-    texts = pa.array(words)
-    return np.concatenate([bucket_of(mix(word_hashes(data, offsets, LETTERS)[0])) for _, data, offsets in slices(texts)])
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, toxic, buckets, counts) of (doc_id, toxic, text): the buckets of a text's distinct words."""
+    """(doc_id, labels, buckets, counts) of (doc_id, labels, text): the buckets of a text's distinct words."""
     for batch in batches:
         for first, data, offsets in slices(batch.column(2)):
             buckets, of = features(data, offsets)
@@ -114,12 +106,48 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = [np.unique(buckets[order[a:b]], return_counts=True) for a, b in zip(rows, rows[1:], strict=False)]
             yield pa.record_batch(
                 [batch.column(0).slice(first, len(own)), batch.column(1).slice(first, len(own)), pa.array([x.astype(np.int32).tobytes() for x, _ in own], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in own], pa.binary())],
-                names=["doc_id", "toxic", "buckets", "counts"],
+                names=["doc_id", "labels", "buckets", "counts"],
             )
 
 
-def fit(examples: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, n_words: int = N_WORDS) -> Chain:
-    """The chain of examples (buckets, counts), in the order that deals them over the folds."""
+def kinds_of(x: np.ndarray, kinds: int = KINDS, rounds: int = 30) -> np.ndarray:
+    """The cluster of each row, largest first: spherical k-means, started from rows far from each other."""
+    if not len(x):
+        return np.zeros(0, np.int64)
+    own = x * np.log((len(x) + 1) / ((x > 0).sum(axis=0) + 0.5))
+    own = own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
+    centre = own.mean(axis=0)
+    starts = [int(np.argmax(own @ centre))]
+    while len(starts) < min(kinds, len(own)):
+        starts.append(int(np.argmin((own @ own[starts].T).max(axis=1))))
+    centres, of = own[starts], np.zeros(len(own), np.int64)
+    for _ in range(rounds if len(starts) > 1 else 0):
+        of = np.argmax(own @ centres.T, axis=1)
+        sums = np.array([own[of == k].sum(axis=0) for k in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    sizes = np.bincount(of, minlength=kinds)
+    return np.argsort(np.argsort(-sizes, kind="stable"))[of]
+
+
+def chained(x: np.ndarray, goals: list[np.ndarray]) -> list[np.ndarray]:
+    """The weights of each category's model: over x, the out-of-fold probabilities of the earlier ones, and the base. Row k is in fold k % FOLDS."""
+    n = len(x)
+    fold = np.arange(n) % FOLDS
+    earlier, weights = np.zeros((n, 0)), []
+    for y in goals:
+        full = np.column_stack([x, earlier, np.ones(n)])
+        weights.append(logistic(full, y))
+        out_of_fold = np.zeros(n)
+        for f in range(FOLDS):
+            if (fold == f).any():
+                out_of_fold[fold == f] = _sigmoid(full[fold == f] @ logistic(full[fold != f], y[fold != f]))
+        earlier = np.column_stack([earlier, out_of_fold])
+    return weights
+
+
+def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, names: tuple[str, ...] = ("toxic",), n_words: int = N_WORDS) -> Chain:
+    """The chain of examples (buckets, counts), in the order that deals them over the folds. labels: rows x names; the last is the label itself."""
+    toxic = labels[:, -1]
     present, with_toxic = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
     for (own, _), t in zip(examples, toxic, strict=True):
         present[own] += 1
@@ -136,37 +164,32 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, n_word
     for r, (own, count) in enumerate(examples):
         at = place[own]
         x[r, at[at >= 0]] = np.log1p(count[at >= 0])
-    goals = []
-    for words in CATEGORIES.values():
-        listed = set(_buckets_of(words).tolist())
-        goals.append(np.array([t and not listed.isdisjoint(own.tolist()) for (own, _), t in zip(examples, toxic, strict=True)], float))
-    goals.append(toxic.astype(float))
-    fold = np.arange(n) % FOLDS
-    earlier, weights = np.zeros((n, 0)), []
-    for y in goals:
-        full = np.column_stack([x, earlier, np.ones(n)])
-        weights.append(logistic(full, y))
-        out_of_fold = np.zeros(n)
-        for f in range(FOLDS):
-            if (fold == f).any():
-                out_of_fold[fold == f] = _sigmoid(full[fold == f] @ logistic(full[fold != f], y[fold != f]))
-        earlier = np.column_stack([earlier, out_of_fold])
-    return Chain(chosen, weights)
-
-
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_labelled: int = MAX_LABELLED) -> Chain | None:
-    """The chain learnt from at most max_labelled labelled documents; None without any."""
-    rows = labels.select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("toxic")).dropna()
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(max_labelled)
-    own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(rows), "doc_id").select("doc_id", "toxic", "text")
-    counted = own.mapInArrow(_count, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, toxic int, buckets binary, counts binary")
-    found = counted.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "buckets", "counts").limit(2 * max_labelled).collect()
+    goals = list(labels.T.astype(float))
+    if len(names) == 1:
+        names = (*(f"kind_{k + 1}" for k in range(KINDS)), *names)
+        of = np.full(n, -1)
+        of[toxic > 0] = kinds_of(x[toxic > 0])
+        goals = [*((of == k).astype(float) for k in range(KINDS)), *goals]
+    return Chain(names, chosen, chained(x, goals))
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str | tuple[str, ...] = "toxic", max_labelled: int = MAX_LABELLED) -> Chain | None:
+    """The chain learnt from at most max_labelled labelled documents; None without any. label: one column, or several in the chain's order."""
+    names = (label,) if isinstance(label, str) else tuple(label)
+    rows = labels.select(F.col(key).alias("doc_id"), *[(F.col(c).cast("double") != 0).cast("string").alias(f"l{k}") for k, c in enumerate(names)]).dropna()
+    rows = rows.select("doc_id", F.concat_ws(",", *[f"l{k}" for k in range(len(names))]).alias("labels"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("labels")]
+    rows = rows.orderBy(*order).limit(max_labelled)
+    own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(rows), "doc_id").select("doc_id", "labels", "text")
+    counted = own.mapInArrow(_count, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, labels string, buckets binary, counts binary")
+    found = counted.orderBy(*order, "buckets", "counts").limit(max_labelled).collect()
     if not found:
         return None
-    return fit([(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in found], np.array([r["toxic"] != 0 for r in found], float))
+    examples = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in found]
+    return fit(examples, np.array([[x == "true" for x in r["labels"].split(",")] for r in found], float), names)
 
 
-def _score(chain: Chain | None):
+def _score(chain: Chain | None, names: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << BUCKET_BITS, -1)
         if chain is not None:
@@ -176,23 +199,25 @@ def _score(chain: Chain | None):
                 n = len(offsets) - 1
                 ids = batch.column(0).slice(first, n)
                 if chain is None:
-                    yield pa.record_batch([ids, *[pa.nulls(n, pa.float64())] * len(NAMES)], names=["id", *NAMES])
+                    yield pa.record_batch([ids, *[pa.nulls(n, pa.float64())] * len(names)], names=["id", *names])
                     continue
                 buckets, doc = features(data, offsets)
                 at = place[buckets]
                 width = len(chain.buckets)
                 counts = np.bincount(doc[at >= 0] * width + at[at >= 0], minlength=n * width).reshape(n, width)
                 p = chain.predict(counts)
-                yield pa.record_batch([ids, *[pa.array(p[:, k]) for k in range(len(NAMES))]], names=["id", *NAMES])
+                yield pa.record_batch([ids, *[pa.array(p[:, k]) for k in range(len(names))]], names=["id", *names])
 
     return run
 
 
 def score(docs: DataFrame, chain: Chain | None, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """(key, p_insult, p_contempt, p_toxic, toxic): one row for each row of docs."""
+    """(key, p_ + each category, toxic): one row for each row of docs. toxic: whether the last category reaches the threshold."""
+    names = chain.names if chain else (*(f"kind_{k + 1}" for k in range(KINDS)), "toxic")
     rows = docs.select(key, F.col(text).cast("string"))
-    out = rows.mapInArrow(_score(chain), f"id {rows.schema[0].dataType.simpleString()}, " + ", ".join(f"{n} double" for n in NAMES))
-    return out.select(F.col("id").alias(key), *[F.col(n).alias(f"p_{n}") for n in NAMES], (F.col("toxic") >= threshold).alias("toxic"))
+    columns = [f"c{k}" for k in range(len(names))]
+    out = rows.mapInArrow(_score(chain, tuple(columns)), f"id {rows.schema[0].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in columns))
+    return out.select(F.col("id").alias(key), *[F.col(c).alias(f"p_{n}") for c, n in zip(columns, names, strict=True)], (F.col(columns[-1]) >= threshold).alias("toxic"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
