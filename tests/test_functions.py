@@ -12,8 +12,8 @@ def one(spark, column):
 @pytest.mark.parametrize(
     ("text", "items"),
     [
-        ('{"Flower design","Pearl embellishments","Stud earrings"}', ["Flower design", "Pearl embellishments", "Stud earrings"]),
-        ('{"Button closure","White stripes on collar, cuffs, and hem"}', ["Button closure", "White stripes on collar, cuffs, and hem"]),
+        ('{"oak plank","four legs"}', ["oak plank", "four legs"]),
+        ('{"7 mm, 9 mm","steel","a {b}"}', ["7 mm, 9 mm", "steel", "a {b}"]),
         ("{a,b}", ["a,b"]),
         ("{}", [""]),
         (None, [""]),
@@ -23,9 +23,9 @@ def test_string_array(spark, text, items):
     assert one(spark, coerce.string_array(F.lit(text).cast("string"))) == items
 
 
-@pytest.mark.parametrize("text", ["2025-08-18 05:16:08.490845+00", "2025-08-18 05:16:08.860455", "2025-08-18 05:16:08+00", "2025-08-18 05:16:08-05"])
+@pytest.mark.parametrize("text", ["1999-12-31 23:59:58.000001+00", "1999-12-31 23:59:58.5", "1999-12-31 23:59:58+00", "1999-12-31 23:59:58-05"])
 def test_without_fraction(spark, text):
-    assert one(spark, coerce.without_fraction(F.lit(text))) == "2025-08-18 05:16:08"
+    assert one(spark, coerce.without_fraction(F.lit(text))) == "1999-12-31 23:59:58"
 
 
 def test_date_alone(spark):

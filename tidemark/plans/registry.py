@@ -305,7 +305,7 @@ def snapshot_copy(spark, d):
 _COPIED = """SELECT doc_id, text || chr(9) || chr(92) || 'N' || chr(39) AS text, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS lang FROM documents"""
 
 
-def _copied(spark, d, canonical):
+def _copied(spark, d, canonical: bool | None):
     rows = read_table(spark, d, "documents").select(F.col("doc_id").cast("string"), F.concat("text", F.lit("\t\\N'")).alias("text"), F.expr("CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS lang"))
     lines = rows.select(copytext.encode_line([F.col(c) for c in rows.columns]).alias("value"))
     fields = copytext.decode_lines(lines, canonical=canonical)
@@ -322,6 +322,29 @@ def copy_text_decode_bytes(spark, d):
     return _copied(spark, d, False)
 
 
+@_query(_COPIED)
+def copy_text_decode_mixed(spark, d):
+    """Each line by the way that it needs."""
+    return _copied(spark, d, None)
+
+
+@_query(
+    """SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'two' || chr(10) || 'lines ' || event_type WHEN 1 THEN 'A' || event_type || 'é' WHEN 2 THEN event_type || chr(9) || 'N' || chr(92)
+    WHEN 3 THEN NULL WHEN 4 THEN chr(92) || chr(10) || chr(10) || event_type ELSE event_type || 'q777xZ' END AS text, user_id FROM events"""
+)
+def copy_text_escapes(spark, d):
+    """Files with escapes that no server writes: raw line feeds and tabs after a backslash, octal, hex, others."""
+    text = F.expr(
+        r"""CASE event_id % 6 WHEN 0 THEN concat('two\\', chr(10), 'lines ', event_type) WHEN 1 THEN concat('\\x41', event_type, '\\303\\xa9') WHEN 2 THEN concat(event_type, '\\', chr(9), '\\N\\\\')
+        WHEN 3 THEN '\\N' WHEN 4 THEN concat('\\\\\\', chr(10), '\\n', event_type) ELSE concat(event_type, '\\q\\777\\xZ') END"""
+    )
+    path = scratch_path(spark, "copy")
+    read_table(spark, d, "events").select(F.concat_ws("\t", F.col("event_id").cast("string"), text, F.col("user_id").cast("string"))).write.text(path)
+    fields = copytext.decode_lines(snapshot.read_copy_lines(spark, path), canonical=None)
+    own = snapshot.named_fields(fields, ["event_id", "text", "user_id"])
+    return own.select(F.col("event_id").cast("long").alias("event_id"), "text", F.col("user_id").cast("long").alias("user_id"))
+
+
 def _messages(spark, d):
     """The orders as messages: inserts, updates with an old tuple and an unchanged status, deletes by key, and commits."""
     rows = read_table(spark, d, "orders")

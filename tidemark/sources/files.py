@@ -13,12 +13,11 @@ from typing import Protocol
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions import copytext
 from tidemark.operators.projection import SourceColumn
 from tidemark.plans.config import SourceTable
-from tidemark.sources.snapshot import read_copy_lines, read_documents
+from tidemark.sources.snapshot import named_fields, read_copy_lines, read_documents
 from tidemark.streaming.changes import read_changes
 
 
@@ -54,8 +53,7 @@ class RelationalFiles:
 
     def snapshot(self, table: SourceTable) -> DataFrame:
         lines = read_copy_lines(self.spark, f"{self.folder}/{table.schema_name}.{table.table_name}.copy")
-        fields = copytext.decode_lines(lines, canonical=False)
-        return fields.select(*[F.get("fields", F.lit(k)).alias(c.name) for k, c in enumerate(self.columns(table))])
+        return named_fields(copytext.decode_lines(lines, canonical=None), [c.name for c in self.columns(table)])
 
     def changes(self, limit: int) -> DataFrame:
         return read_changes(self.spark, f"{self.folder}/changes.jsonl", limit)

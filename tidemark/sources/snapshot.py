@@ -23,15 +23,21 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str | None = No
 
 
 def read_copy_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The raw lines of COPY TEXT files; only a line feed ends a row."""
-    return spark.read.option("lineSep", "\n").text(path)
+    """The raw rows of COPY TEXT files; only a line feed that isn't escaped ends a row."""
+    return copytext.whole_rows(spark.read.option("lineSep", "\n").text(path))
 
 
-def copied(lines: DataFrame, columns: list[SourceColumn], masked: tuple[str, ...] = (), canonical: bool = True, line: str = "value") -> DataFrame:
+def named_fields(fields: DataFrame, names: list[str]) -> DataFrame:
+    """The fields as columns; a row with another number of fields fails the job."""
+    n = F.size("fields")
+    wrong = F.when(n != len(names), F.raise_error(F.concat(F.lit(f"a COPY row has not {len(names)} fields but "), n.cast("string"))).cast("string"))
+    return fields.select(*[F.coalesce(wrong, F.get("fields", F.lit(k))).alias(c) if not k else F.get("fields", F.lit(k)).alias(c) for k, c in enumerate(names)])
+
+
+def copied(lines: DataFrame, columns: list[SourceColumn], masked: tuple[str, ...] = (), canonical: bool | None = True, line: str = "value") -> DataFrame:
     """COPY lines as typed rows of the replica."""
     fields = copytext.decode_lines(lines, line, canonical)
-    named = fields.select(*[F.get("fields", F.lit(k)).alias(c.name) for k, c in enumerate(columns)])
-    return to_replica(named, columns, masked)
+    return to_replica(named_fields(fields, [c.name for c in columns]), columns, masked)
 
 
 def read_documents(lines: DataFrame, line: str = "value") -> DataFrame:
