@@ -11,9 +11,10 @@
    once, packed, in sorted cells.
    What makes near copies differ is rare and comes first, so classes that differ too much share no
    tile, or not at ranks that allow a link.
-3. Stars. In each tile the classes meet one hub: first the class with the largest tiles (of a group
-   of near copies, the original), then one chosen by hash, and a class keeps the hub (then the EDGES
-   hubs) that it met most often. So a large group makes links by its size, not by its square.
+3. Stars. In each tile the classes meet one hub: first the one with the least rank (of a group of
+   near copies, the original: it has no rare shingles of its own), then one chosen by hash, of which
+   a class keeps the EDGES that it met most often. So a large group makes links by its size, not by
+   its square. Tiles of two classes are settled by the first star.
 4. Bands. Tiles that still hold several components are split by bands of set sizes, and all pairs
    across components that sizes and ranks allow are compared: no link between them is lost.
 5. Every pair is first bounded by hashed bitmap signatures (parity bits, at least twice as many as
@@ -48,7 +49,8 @@ CHUNK = 1 << 16
 CELL, PACK = 1 << 20, 1 << 19
 #: A shingle counted so many times more often than the median counter is dealt over several cells.
 HEAVY = 5_000
-STAR_ROUNDS, EDGES = 2, 4
+#: Stars after the first, and the hubs that a class keeps in them.
+STAR_ROUNDS, EDGES = 1, 4
 #: So many pairs of one hub share a copy of its array.
 FAN = 4_096
 #: Two to this power bits of a filter of wanted ids: 8 MB, whatever the input.
@@ -189,7 +191,7 @@ def _postings(table, middle: int, cells: int):
 
 
 def _tiles(table: pa.Table) -> pa.Table:
-    """(key, node, n, place) of a cell's postings, each once, whose key has another node that may link, or is heavy."""
+    """(key, node, n, place) of a cell's tiles of three classes or more, or of a heavy key; and (node, hub) of the first stars of all tiles."""
     parts = []
     for row in table.to_batches():
         for steps, own, size, which, ranks in zip(*(row.column(name) for name in ("steps", "nodes", "sizes", "which", "ranks")), strict=True):
@@ -197,17 +199,30 @@ def _tiles(table: pa.Table) -> pa.Table:
             with np.errstate(over="ignore"):
                 keys = np.cumsum(_numbers(steps.as_buffer(), np.uint64), dtype=np.uint64)
             parts.append((keys, np.frombuffer(own.as_buffer(), np.int64)[of], np.frombuffer(size.as_buffer(), np.int32)[of], _numbers(ranks.as_buffer(), np.int32)))
-    keys, nodes, sizes, ranks = (np.concatenate(x) for x in zip(*parts, strict=True))
+    keys, nodes, n, ranks = (np.concatenate(x) for x in zip(*parts, strict=True))
     del parts
     order = np.lexsort((nodes, keys))
-    keys, nodes, sizes, ranks = keys[order], nodes[order], sizes[order], ranks[order]
-    once = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])]
-    keys, nodes, sizes, ranks = keys[once], nodes[once], sizes[once].astype(np.int64), ranks[once].astype(np.int64)
+    keys, nodes, n, ranks = keys[order], nodes[order], n[order], ranks[order]
+    keep = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])]  # each once
     same = keys[1:] == keys[:-1]
-    several = np.r_[same, False] | np.r_[False, same]
-    keep = ranks < 0
-    keep[several] |= linkable(keys[several], sizes[several], np.abs(ranks[several]))
-    return pa.table({"key": keys[keep].view(np.int64), "node": nodes[keep], "n": sizes[keep], "place": np.abs(ranks[keep])})
+    keep &= np.r_[same, False] | np.r_[False, same] | (ranks < 0)
+    keys, nodes, n, ranks = keys[keep], nodes[keep], n[keep].astype(np.int64), ranks[keep].astype(np.int64)
+    heavy, place = ranks < 0, np.abs(ranks)
+    keep = linkable(keys, n, place) | heavy
+    keys, nodes, n, heavy, place = keys[keep], nodes[keep], n[keep], heavy[keep], place[keep]
+    order = np.lexsort((nodes, -n, place, keys))
+    keys, nodes, n, heavy, place = keys[order], nodes[order], n[order], heavy[order], place[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    size = np.diff(np.r_[starts, len(keys)])
+    hub = np.repeat(starts, size)
+    least = -(-3 * (n + n[hub]) // 7)
+    meets = (hub != np.arange(len(keys))) & (4 * np.minimum(n, n[hub]) >= 3 * np.maximum(n, n[hub])) & (place <= n - least + 1) & (place[hub] <= n[hub] - least + 1)
+    edges = np.unique(np.column_stack([nodes[meets], nodes[hub[meets]]]), axis=0)
+    stay = heavy | (np.repeat(size, size) > 2)
+    none = lambda k: pa.nulls(k, pa.int64())
+    tiles = [pa.array(keys[stay].view(np.int64)), pa.array(nodes[stay]), pa.array(n[stay]), pa.array(place[stay]), none(int(stay.sum()))]
+    stars = [none(len(edges)), pa.array(edges[:, 0]), none(len(edges)), none(len(edges)), pa.array(edges[:, 1])]
+    return pa.table([pa.chunked_array(list(x), pa.int64()) for x in zip(tiles, stars, strict=True)], names=["key", "node", "n", "place", "hub"])
 
 
 def signature(own: np.ndarray) -> bytes:
@@ -301,13 +316,11 @@ def can_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Colu
 
 def _stars(held: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of classes a and their tiles' hubs b, which are in another component: EDGES for a class at most."""
-    first = F.struct("s", "node", "n", "place", "comp")
-    hub = F.min(first) if not turn else F.min_by(first, F.xxhash64("node", F.lit(turn)))
-    hubs = held.groupBy("key").agg(hub.alias("h"))
+    hubs = held.groupBy("key").agg(F.min_by(F.struct("node", "n", "place", "comp"), F.xxhash64("node", F.lit(turn))).alias("h"))
     meets = (F.col("comp") != F.col("h.comp")) & can_link(F.col("n"), F.col("place"), F.col("h.n"), F.col("h.place"))
     met = held.join(hubs, "key").filter(meets).groupBy(F.col("node").alias("a"), F.col("h.node").alias("b")).count()
     most = Window.partitionBy("a").orderBy(F.col("count").desc(), "b")
-    return met.withColumn("nth", F.row_number().over(most)).filter(F.col("nth") <= (EDGES if turn else 1)).select("a", "b")
+    return met.withColumn("nth", F.row_number().over(most)).filter(F.col("nth") <= EDGES).select("a", "b")
 
 
 def _band(n: Column) -> Column:
@@ -362,17 +375,23 @@ def _between(links: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def _merged(state: DataFrame, found: DataFrame) -> DataFrame:
-    """state (s, node, comp) after some of the links found: a component joins the least that it links to, and that one's.
+    """state (node, comp) after some of the links found: a component joins the least that it links to, and that one's.
 
-    Between rounds it is enough that what has one component is linked; all links count at the end.
+    Twice, so that a star becomes one component. Between rounds it is enough that what has one
+    component is linked; all links count at the end.
     """
-    between = _between(found, state)
-    both = between.union(between.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
-    step = both.groupBy(F.col("ca").alias("comp")).agg(F.min("cb").alias("to")).filter("to < comp")
     for _ in range(2):
-        step = materialize(step)
-        step = step.join(step.select(F.col("comp").alias("to"), F.col("to").alias("end")), "to", "left").select("comp", F.coalesce("end", "to").alias("to"))
-    return materialize(state.join(step, "comp", "left").select("s", "node", F.coalesce("to", "comp").alias("comp")))
+        between = _between(found, state)
+        both = between.union(between.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
+        step = both.groupBy(F.col("ca").alias("comp")).agg(F.min("cb").alias("to")).filter("to < comp")
+        steps = []
+        for _ in range(2):
+            step = materialize(step)
+            steps.append(step)
+            step = step.join(step.select(F.col("comp").alias("to"), F.col("to").alias("end")), "to", "left").select("comp", F.coalesce("end", "to").alias("to"))
+        before, state = state, materialize(state.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+        free(before, *steps)
+    return state
 
 
 def _held(tiles: DataFrame, state: DataFrame) -> DataFrame:
@@ -395,7 +414,7 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _tiled(docs: DataFrame, sized: DataFrame) -> DataFrame:
-    """(key, node, n, place): the tiles. sized: what _sized gives."""
+    """(key, node, n, place, hub): the tiles and first stars, as _tiles says. sized: what _sized gives."""
     spark = docs.sparkSession
     counters = np.zeros(1 << COUNTERS, np.uint32)
     for r in sized.filter("chunk IS NOT NULL").select("chunk", "body").repartition("chunk").mapInArrow(_summed, "chunk int, body binary").collect():  # 16 MB at most
@@ -405,7 +424,7 @@ def _tiled(docs: DataFrame, sized: DataFrame) -> DataFrame:
     cells = 1 + shingles // (4 * CELL)
     run = _postings(spark.sparkContext.broadcast(counters), int(np.median(counters)), cells)
     packed = docs.select("text").mapInArrow(run, "cell int, steps binary, nodes binary, sizes binary, which binary, ranks binary")
-    return materialize(packed.groupBy("cell").applyInArrow(_tiles, "key long, node long, n long, place long"))
+    return materialize(packed.groupBy("cell").applyInArrow(_tiles, "key long, node long, n long, place long, hub long"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -419,27 +438,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     one = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     classes = materialize(rows.filter("n > 0").groupBy("node").agg(F.min(one).alias("one"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bits").alias("bits")))
 
-    tiles = _tiled(docs, sized)
-    large = tiles.groupBy("key").count()
-    nodes = tiles.join(large, "key").groupBy("node").agg((-F.sum("count")).alias("s"))
-    state = materialize(nodes.select("s", "node", F.struct("s", "node").alias("comp")))
-    links = []
+    tiled = _tiled(docs, sized)
+    tiles = tiled.filter("key IS NOT NULL").select("key", "node", "n", "place")
+    edges = tiled.filter("hub IS NOT NULL").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    links = [_links(edges, classes, docs)]
+    nodes = tiles.select("node").union(links[0].select("a")).union(links[0].select("b")).distinct()
+    state = _merged(materialize(nodes.select("node", F.col("node").alias("comp"))), links[0])
     for turn in range(STAR_ROUNDS + 1):
         held = _held(tiles, state)
         if held.isEmpty():
+            free(held)
             break
         found = _links(_stars(held, turn) if turn < STAR_ROUNDS else _across(held), classes, docs)
-        before, state = state, _merged(state, found)
-        free(held, before)
+        free(held)
         links.append(found)
-    free(tiles)
-    comp = state.select("node", F.col("comp.node").alias("of"))
-    for k, found in enumerate(links):
-        between = _between(found, state).select(F.col("ca.node").alias("a"), F.col("cb.node").alias("b"))
-        crossed = between if not k else crossed.union(between)
-    if links:
-        ends = components(crossed)
-        comp = comp.join(ends.select(F.col("node").alias("of"), "component"), "of", "left").select("node", F.coalesce("component", "of").alias("of"))
+        if turn < STAR_ROUNDS:
+            state = _merged(state, found)
+    free(tiled)
+    crossed = _between(links[0], state)
+    for found in links[1:]:
+        crossed = crossed.union(_between(found, state))
+    ends = components(crossed.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    comp = state.join(ends.select(F.col("node").alias("comp"), "component"), "comp", "left").select("node", F.coalesce("component", "comp").alias("of"))
     # Classes without a shared tile are components of their own.
     named = classes.join(comp, "node", "left").select("node", "one", "copies", F.coalesce("of", "node").alias("of"))
     named = materialize(named)
