@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -410,13 +412,23 @@ def doc_snapshot(spark, d):
     TIMESTAMP '1970-01-01 00:00:00' + to_days(event_id::INT) AS at, 'a|' || event_type AS tags, CAST(NULL AS INT) AS absent FROM events"""
 )
 def doc_project(spark, d):
-    docs = snapshot.read_documents(_documents(spark, d))
-    own = lambda name, kind, nullable=True: documents.coerce(F.col("doc"), name, ReplicaType(kind, nullable))
-    tags = documents.coerce(F.col("doc"), "tags", ReplicaType("Array", element=ReplicaType("String")))
-    return docs.select(
-        "seq", own("kind", "String").alias("kind"), own("n", "Int32").cast("int").alias("n"), own("big", "Int64").alias("big"), own("half", "Float64").alias("half"), own("ok", "Bool").alias("ok"),
-        own("none", "String").alias("none"), own("at", "DateTime").alias("at"), F.array_join(tags, "|").alias("tags"), own("absent", "Int32").cast("int").alias("absent"),
-    )
+    types = {"kind": "String", "n": "Int32", "big": "Int64", "half": "Float64", "ok": "Bool", "none": "String", "at": "DateTime", "absent": "Int32"}
+    columns = {n: ReplicaType(t, True) for n, t in types.items()} | {"tags": ReplicaType("Array", element=ReplicaType("String"))}
+    docs = documents.projected(snapshot.read_documents(_documents(spark, d)), columns, carry=("seq",))
+    return docs.withColumn("tags", F.array_join("tags", "|"))
+
+
+@_query(
+    '''SELECT event_id AS seq, user_id AS "it's", event_type AS "a ""quoted"" name", event_type AS "both ' and """, CASE WHEN event_id % 2 = 0 THEN event_id END AS "$.['x']", 'e' AS blank FROM events'''
+)
+def doc_odd_names(spark, d):
+    """Fields of any name: quotes, dots, brackets, none at all."""
+    kinds = {"it's": "Int64", 'a "quoted" name': "String", "both ' and \"": "String", "$.['x']": "Int64", "": "String"}
+    kind = F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))
+    cells = [F.expr("""concat('{"$numberLong":"', user_id, '"}')"""), kind, kind, F.expr("CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS STRING) ELSE 'null' END"), F.lit('"e"')]
+    text = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(json.dumps(k) + ":"), c) for k, c in zip(kinds, cells, strict=True)]), F.lit("}"))
+    docs = read_table(spark, d, "events").select(F.col("event_id").alias("seq"), documents.parse(text).alias("doc"))
+    return documents.projected(docs, {n: ReplicaType(t, True) for n, t in kinds.items()}, carry=("seq",)).withColumnRenamed("", "blank")
 
 
 @_query(
@@ -424,9 +436,17 @@ def doc_project(spark, d):
     ' ' AS "inner", 'AQID' AS bin, ' ' AS ok FROM events"""
 )
 def doc_to_string(spark, d):
-    docs = snapshot.read_documents(_documents(spark, d))
-    own = lambda name: documents.to_string(documents.field(F.col("doc"), name))
-    return docs.select("seq", own("_id").alias("id"), own("kind").alias("kind"), own("n").alias("n"), own("at").alias("at"), own("inner").alias("inner"), own("bin").alias("bin"), own("ok").alias("ok"))
+    names = {"id": "_id"} | {n: n for n in ("kind", "n", "at", "inner", "bin", "ok")}
+    docs = documents.typed(snapshot.read_documents(_documents(spark, d)), list(names.values()))
+    return docs.select("seq", *[documents.to_string(F.col(f"__v{k}"), F.col(f"__k{k}")).alias(n) for k, n in enumerate(names)])
+
+
+@_query("SELECT event_id AS seq, 'it''''s ' || chr(92) || chr(92) || ' ' || event_type || chr(92) || 'n' AS s FROM events")
+def doc_escape(spark, d):
+    """A document's text for a quoted SQL literal."""
+    text = F.concat(F.lit('{"v":"' + r"it's \\ "), F.col("event_type"), F.lit(r'\n"}'))
+    docs = read_table(spark, d, "events").select(F.col("event_id").alias("seq"), documents.parse(text).alias("doc"))
+    return docs.select("seq", documents.escaped(documents.field(F.col("doc"), "v")).alias("s"))
 
 
 @_query(

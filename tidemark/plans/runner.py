@@ -135,9 +135,7 @@ class DocumentPipe:
         return {n: row[n] for n in names if row[n]}
 
     def _rows(self, collection: str, docs: DataFrame, masked: tuple[str, ...], *carry: str) -> DataFrame:
-        own = self.types[collection]
-        column = lambda n, t: documents.coerce(F.when(F.lit(n not in masked), F.col("doc")), n, t).cast(spark_type(t)).alias(n)
-        return docs.select(*carry, *[column(n, t) for n, t in own.items()])
+        return documents.projected(docs, self.types[collection], masked, carry)
 
     def replica(self, collection: str) -> Replica:
         schema = T.StructType([T.StructField(n, spark_type(t), True, {"is_key": n == "_id"}) for n, t in self.types[collection].items()])
