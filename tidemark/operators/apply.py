@@ -45,13 +45,22 @@ def batchwise(changes: DataFrame, keys: list[str], values: list[str]) -> DataFra
     return summary.join(F.broadcast(truncated), F.lit(True)).filter(alive).select(*keys, "last.seq", *[f"last.{v}" for v in values])
 
 
+def _without(state: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of state whose key is none of gone's. NULL is a key like any other."""
+    other = gone.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return state.join(other, same, "left_anti")
+
+
 def upsert(state: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """state with rows in place of those of their keys. rows: one of each key, the columns of state."""
-    return state.join(rows.select(*keys), keys, "left_anti").unionByName(rows, allowMissingColumns=True)
+    return _without(state, rows, keys).unionByName(rows, allowMissingColumns=True)
 
 
 def delete(state: DataFrame, keys_gone: DataFrame, keys: list[str]) -> DataFrame:
-    return state.join(keys_gone.select(*keys).distinct(), keys, "left_anti")
+    return _without(state, keys_gone.select(*keys).distinct(), keys)
 
 
 def tombstones_for_moved_keys(changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -66,20 +75,3 @@ def tombstones_for_moved_keys(changes: DataFrame, keys: list[str]) -> DataFrame:
     gone = doubled.filter((F.col("op") == "U") & moved)
     gone = gone.withColumns({"op": F.lit("D"), "seq": F.col("seq") - 1} | {k: F.coalesce(f"old_{k}", k) for k in keys})
     return doubled.unionByName(gone)
-
-
-def apply_batch(state: DataFrame, batch: DataFrame, keys: list[str], mode: str = "ordered") -> DataFrame:
-    """The state after one more batch (with op and seq); for streams, where the state is a table."""
-    rows = batch.drop("batch_id")
-    values = state.columns
-    if mode == "ordered":
-        cut = rows.filter("op = 'T'").agg(F.max("seq").alias("__cut"))
-        kept = state.join(F.broadcast(cut), F.col("__cut").isNull()).drop("__cut")
-        if not keys:
-            return kept.unionByName(ordered(rows, keys).select(*values))
-        last = keep_last(rows.filter("op <> 'T'").join(F.broadcast(cut), F.col("__cut").isNull() | (F.col("seq") > F.col("__cut"))), keys)
-        return kept.join(last.select(*keys), keys, "left_anti").unionByName(last.filter("op <> 'D'").select(*values))
-    cut = rows.filter("op = 'T'").agg(F.max("seq").alias("__cut"))
-    kept = state.join(F.broadcast(cut), F.col("__cut").isNull()).drop("__cut")
-    last = keep_last(rows.filter("op IN ('I', 'U')"), keys)
-    return delete(upsert(kept, last.select(*values), keys), rows.filter("op = 'D'"), keys)

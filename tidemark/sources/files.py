@@ -1,7 +1,7 @@
 """Sources as files in the wire formats: COPY TEXT snapshots, change messages, Extended JSON documents.
 
 A relational folder holds <schema>.<table>.columns.json (name, udt, nullable, is_key, comment of each
-column, and relation_id), <schema>.<table>.copy and changes.jsonl (seq, lsn, xid, data in base64). A
+column, relation_id and the table's comment), <schema>.<table>.copy and changes.jsonl (seq, lsn, xid, data in base64). A
 document folder holds <collection>.jsonl and changes/ (JSON lines: seq, operation_type, collection,
 document_key, full_document), to which files are added.
 """
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions import copytext
 from tidemark.operators.projection import SourceColumn
 from tidemark.plans.config import SourceTable
-from tidemark.sources.snapshot import named_fields, read_copy_lines, read_documents
-from tidemark.streaming.changes import read_changes
+from tidemark.sources.snapshot import estimated_rows, named_fields, read_copy_lines, read_documents
+from tidemark.streaming.changes import read_changes, read_document_changes
 
 
 class Source(Protocol):
@@ -32,8 +32,11 @@ class Source(Protocol):
     def snapshot(self, table: SourceTable) -> DataFrame:
         """The table's columns as text."""
 
-    def changes(self, limit: int) -> DataFrame:
-        """A stream of (seq, lsn, xid, data)."""
+    def changes(self, limit: int, **options) -> DataFrame:
+        """A stream of (seq, lsn, xid, data). options: timeout_millis, idle_millis."""
+
+    def estimate(self, table: SourceTable) -> int:
+        """About how many rows the table has."""
 
 
 class RelationalFiles:
@@ -55,11 +58,14 @@ class RelationalFiles:
         lines = read_copy_lines(self.spark, f"{self.folder}/{table.schema_name}.{table.table_name}.copy")
         return named_fields(copytext.decode_lines(lines, canonical=None), [c.name for c in self.columns(table)])
 
-    def changes(self, limit: int) -> DataFrame:
-        return read_changes(self.spark, f"{self.folder}/changes.jsonl", limit)
+    def changes(self, limit: int, **options) -> DataFrame:
+        return read_changes(self.spark, f"{self.folder}/changes.jsonl", limit, **options)
 
+    def comment(self, table: SourceTable) -> str:
+        return self._described(table).get("comment", "")
 
-DOCUMENT_CHANGE = "seq bigint, operation_type string, collection string, document_key string, full_document string"
+    def estimate(self, table: SourceTable) -> int:
+        return estimated_rows(self.spark, f"{self.folder}/{table.schema_name}.{table.table_name}.copy")
 
 
 class DocumentFiles:
@@ -74,5 +80,5 @@ class DocumentFiles:
             lines = self.spark.createDataFrame([], "value string")
         return read_documents(lines)
 
-    def changes(self, files_at_once: int = 1) -> DataFrame:
-        return self.spark.readStream.schema(DOCUMENT_CHANGE).option("maxFilesPerTrigger", files_at_once).json(f"{self.folder}/changes")
+    def changes(self, limit: int = 65536, **options) -> DataFrame:
+        return read_document_changes(self.spark, f"{self.folder}/changes", limit, **options)

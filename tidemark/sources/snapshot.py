@@ -7,21 +7,43 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import copytext, documents
 from tidemark.operators.projection import SourceColumn, cells_by_name, to_replica
+from tidemark.plans.config import Connection
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, column: str | None = None, bounds: tuple[int, int, int] | None = None, **options: str) -> DataFrame:
-    """A table over JDBC, in ranges of a numeric column if given. Needs a driver on the class path; not tested here."""
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+def jdbc_options(connection: Connection, scheme: str = "postgresql") -> dict[str, str]:
+    """The options of a JDBC source for a configured connection."""
+    own = {"url": f"jdbc:{scheme}://{connection.host}:{connection.port or 5432}/{connection.database}", "user": connection.username, "password": connection.password}
+    own |= {"sslmode": connection.ssl_mode, "ApplicationName": connection.app_name}
+    return own | ({"sslrootcert": connection.ssl_root_cert} if connection.ssl_root_cert else {})
+
+
+def read_jdbc(spark: SparkSession, table: str, column: str | None = None, bounds: tuple[int, int, int] | None = None, **options: str) -> DataFrame:
+    """A table (or a query in brackets) over JDBC, in ranges of a numeric column if given. Needs a driver on the class path."""
+    reader = spark.read.format("jdbc").options(dbtable=table, **options)
     if column and bounds:
         low, high, parts = bounds
         reader = reader.options(partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=parts)
     return reader.load()
 
 
+def ping(spark: SparkSession, statement: str = "(SELECT 1 AS one) AS p", **options: str) -> bool:
+    """Whether the database answers; what it says instead is raised."""
+    return read_jdbc(spark, statement, **options).count() == 1
+
+
+def estimated_rows(spark: SparkSession, path: str, sample_bytes: int = 1 << 16) -> int:
+    """About how many lines files hold: their size over the mean length of the first lines."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.sc().hadoopConfiguration())
+    size = store.getContentSummary(where).getLength()
+    lines = spark.read.text(path).select(F.octet_length("value").alias("n")).limit(1000).agg(F.count("*"), F.sum(F.col("n") + 1)).first()
+    return round(size * lines[0] / lines[1]) if lines[1] else 0
+
+
 def read_copy_lines(spark: SparkSession, path: str) -> DataFrame:
     """The raw rows of COPY TEXT files; only a line feed that isn't escaped ends a row."""
     return copytext.whole_rows(spark.read.option("lineSep", "\n").text(path))

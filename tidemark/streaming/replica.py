@@ -2,7 +2,8 @@
 
 Every batch is a directory named by its id, so that writing it again after a failure replaces it
 (at-least-once delivery, idempotent effect). The view is the closed form over base and log.
-`compact` writes a new base and then a new version entry; nothing that is being read is overwritten.
+`compact` writes a new base and then a new version entry; nothing that is being read is overwritten,
+and a view of the version before it can still be read.
 """
 
 from __future__ import annotations
@@ -29,9 +30,26 @@ class Replica:
         rows = batch.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.log_schema])
         rows.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
 
-    def load(self, snapshot: DataFrame) -> None:
-        """The initial copy, before all batches."""
-        self._write_base(snapshot.select(*self.schema.names), -1)
+    def load(self, snapshot: DataFrame, rows_a_file: int = 0) -> None:
+        """The initial copy, before all batches. rows_a_file: at most so many in one file; 0 for no bound."""
+        self._write_base(snapshot.select(*self.schema.names), -1, rows_a_file)
+
+    def is_empty(self) -> bool:
+        """Whether the view has no row; files are only read where there are any."""
+        _, base, _ = self._version()
+        return base is None and not self._exists(f"{self.path}/log") or self.view().isEmpty()
+
+    def _exists(self, path: str) -> bool:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.sc().hadoopConfiguration()).exists(where)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.sc().hadoopConfiguration()).delete(where, True)
+
+    def last_compacted(self) -> int:
+        """The last batch that the base holds; -1 without any."""
+        return max(-1, self._version()[2])
 
     def _versions(self) -> DataFrame | None:
         try:
@@ -45,10 +63,10 @@ class Replica:
         last = versions.orderBy(F.desc("version")).first() if versions is not None else None
         return (0, None, -2) if last is None else (last["version"], last["base"], last["upto"])
 
-    def _write_base(self, rows: DataFrame, upto: int) -> None:
+    def _write_base(self, rows: DataFrame, upto: int, rows_a_file: int = 0) -> None:
         version = self._version()[0] + 1
         base = f"{self.path}/base/{version}"
-        rows.write.mode("overwrite").parquet(base)
+        rows.write.mode("overwrite").option("maxRecordsPerFile", rows_a_file).parquet(base)
         self.spark.createDataFrame([(version, base, upto)], "version long, base string, upto long").coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
 
     def changes(self) -> DataFrame:
@@ -71,9 +89,19 @@ class Replica:
         return apply.batchwise(self.changes(), self.keys, [n for n in names if n not in self.keys]).select(*names)
 
     def compact(self) -> None:
-        """A new base of what the view shows now."""
+        """A new base of what the view shows now. Bases and batches that only older versions but the last one read go."""
+        version, base, upto = self._version()
         done = self.changes().agg(F.max("batch_id")).first()[0]
-        self._write_base(self.view(), -1 if done is None else done)
+        self._write_base(self.view(), -1 if done is None else max(done, upto))
+        if version > 1:
+            self._delete(f"{self.path}/base/{version - 1}")
+        if upto >= 0:
+            batches = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
+            store = batches.getFileSystem(self.spark._jsc.sc().hadoopConfiguration())
+            for x in store.listStatus(batches) if store.exists(batches) else []:
+                name = x.getPath().getName()
+                if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= upto:
+                    store.delete(x.getPath(), True)
 
 
 def follow(changes: DataFrame, replica: Replica, checkpoint: str, prepare=None, available_now: bool = True, interval: str = "100 milliseconds") -> StreamingQuery:
