@@ -77,9 +77,9 @@ def unknown(x: Column) -> Column:
     return string(x)
 
 
-def sql_escaped(x: Column) -> Column:
-    """Text for a quoted SQL literal."""
-    for raw, escaped in (("\\", "\\\\"), ("'", "''"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0")):
+def sql_escaped(x: Column, lines: bool = True) -> Column:
+    """Text for a quoted SQL literal: backslashes and quotes, and where lines are, line ends and NUL."""
+    for raw, escaped in (("\\", "\\\\"), ("'", "''"), *((("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0")) if lines else ())):
         x = F.replace(x, F.lit(raw), F.lit(escaped))
     return x
 

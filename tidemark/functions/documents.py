@@ -78,8 +78,13 @@ def to_string(value: Column, kind: Column | None = None) -> Column:
 
 
 def escaped(value: Column) -> Column:
-    """The text of a document value for a quoted SQL literal: quotes doubled, backslashes and line ends escaped."""
-    return sql_escaped(to_string(value))
+    """The text of a document value for a quoted SQL literal: backslashes and quotes only."""
+    return sql_escaped(to_string(value), lines=False)
+
+
+def unknown(value: Column) -> Column:
+    """A value for a column of no known type."""
+    return F.when(value.isNull(), F.lit(None).cast("string"))
 
 
 def coerce(value: Column, kind: Column, to: ReplicaType) -> Column:

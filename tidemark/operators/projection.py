@@ -49,5 +49,5 @@ def to_replica(df: DataFrame, columns: list[SourceColumn], masked: tuple[str, ..
 
 
 def schema_of(columns: list[SourceColumn]) -> T.StructType:
-    """The replica's schema; keys, comments and source types are metadata."""
-    return T.StructType([T.StructField(c.name, spark_type(c.type), c.type.nullable, {"is_key": c.is_key, "comment": c.comment, "udt": c.udt, "position": k + 1}) for k, c in enumerate(columns)])
+    """The replica's schema; keys, comments, source types and what may be NULL (which catalogs forget) are metadata."""
+    return T.StructType([T.StructField(c.name, spark_type(c.type), c.type.nullable, {"is_key": c.is_key, "nullable": c.type.nullable, "comment": c.comment, "udt": c.udt, "position": k + 1}) for k, c in enumerate(columns)])

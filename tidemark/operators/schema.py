@@ -52,7 +52,7 @@ def add_column_text(database: str, table: str, column: SourceColumn) -> str:
 
 def columns_of(df: DataFrame) -> DataFrame:
     """The catalog of a table: position from 1, name, type, nullable, key flag, comment."""
-    rows = [(k + 1, f.name, f.dataType.simpleString(), f.nullable, bool(f.metadata.get("is_key", False)), str(f.metadata.get("comment", ""))) for k, f in enumerate(df.schema.fields)]
+    rows = [(k + 1, f.name, f.dataType.simpleString(), bool(f.metadata.get("nullable", f.nullable)), bool(f.metadata.get("is_key", False)), str(f.metadata.get("comment", ""))) for k, f in enumerate(df.schema.fields)]
     return df.sparkSession.createDataFrame(rows, "column_index int, column_name string, data_type string, nullable boolean, is_primary_key boolean, comment string")
 
 
@@ -87,3 +87,15 @@ def publication_difference(configured: DataFrame, published: DataFrame) -> DataF
 def create_replica(spark: SparkSession, name: str, schema: T.StructType, path: str, comment: str = "") -> None:
     """A Parquet table in the catalog, with the replica's schema and its comment as a property."""
     spark.catalog.createTable(name, path=path, source="parquet", schema=schema, description=comment)
+
+
+def columns_of_table(spark: SparkSession, name: str) -> DataFrame:
+    """The catalog of a table by name; empty for one that is not there."""
+    if not spark.catalog.tableExists(name):
+        return columns_of(spark.range(0).select())
+    return columns_of(spark.table(name))
+
+
+def comment_of_table(spark: SparkSession, name: str) -> str:
+    """Its comment; empty for a table without one, or that is not there."""
+    return (spark.catalog.getTable(name).description or "") if spark.catalog.tableExists(name) else ""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,12 @@ from tidemark.operators.projection import SourceColumn
 from tidemark.plans import fixtures as fx
 from tidemark.plans.config import Configuration, Connection, Source, SourceTable, Target
 from tidemark.plans.pipeline import replica_of
+from tidemark.plans.runner import RelationalPipe
 from tidemark.sources import snapshot
+from tidemark.sources.files import RelationalFiles
 from tidemark.sources.scratch import scratch_path
 from tidemark.sources.snapshot import read_table
-from tidemark.streaming.changes import peek
+from tidemark.streaming.changes import peek, read_changes
 from tidemark.streaming.replica import Replica, follow
 
 _QUERIES: dict = {}
@@ -203,18 +206,21 @@ def mask_columns(spark, d):
     return projection.to_replica(rows.select(*[F.col(c).cast("string") for c in rows.columns]), _CUSTOMER, masked=("c_name", "c_acctbal"))
 
 
-@_query(f"SELECT event_id, CASE WHEN x IS NULL THEN NULL ELSE coalesce(try_cast(trim(x) AS BIGINT), 0) END AS nullable, coalesce(try_cast(trim(x) AS BIGINT), 0) AS filled FROM ({_TEXTS}) WHERE event_id % 16 IN (0, 1, 3, 6, 13, 15)")
-def null_default_rule(spark, d):
-    rows = _texts(spark, d).filter("event_id % 16 IN (0, 1, 3, 6, 13, 15)")
-    return rows.select("event_id", coerce.coerce(F.col("x"), ReplicaType("Int64", True)).alias("nullable"), coerce.coerce(F.col("x"), ReplicaType("Int64")).alias("filled"))
+_INT64 = "CASE WHEN regexp_full_match(trim(x), '[+-]?[0-9]+') THEN coalesce(try_cast(trim(x) AS BIGINT), 0) ELSE 0 END"
 
 
-_INT64 = "CASE WHEN regexp_full_match(trim(x), '[+-]?[0-9]+') THEN coalesce(try_cast(trim(x) AS BIGINT), 0) ELSE 0 END"
+_REAL = "CASE WHEN regexp_full_match(x, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN CAST(x AS DOUBLE) ELSE 0.0::DOUBLE END"
+
+
+@_query(f"SELECT event_id, CASE WHEN x IS NULL THEN NULL ELSE {_REAL} END AS nullable, coalesce({_REAL}, 0) AS filled, x AS text, coalesce(x, '') AS filled_text FROM ({_TEXTS})")
+def null_default_rule(spark, d):
+    to = lambda name, nullable: coerce.coerce(F.col("x"), ReplicaType(name, nullable))
+    return _texts(spark, d).select("event_id", to("Float64", True).alias("nullable"), to("Float64", False).alias("filled"), to("String", True).alias("text"), to("String", False).alias("filled_text"))
 
 
 @_query(f"SELECT event_id, CASE WHEN x IS NULL THEN NULL ELSE {_INT64} END AS nullable, coalesce({_INT64}, 0) AS filled FROM ({_TEXTS})")
 def null_default_every_text(spark, d):
-    """null_default_rule over all texts: also fractions, words, empty ones and numbers past Int64."""
+    """The rule for whole numbers: also fractions, words, empty texts and numbers past Int64."""
     return _texts(spark, d).select("event_id", coerce.coerce(F.col("x"), ReplicaType("Int64", True)).alias("nullable"), coerce.coerce(F.col("x"), ReplicaType("Int64")).alias("filled"))
 
 
@@ -241,9 +247,12 @@ def coerce_string(spark, d):
     return _texts(spark, d).select("event_id", coerce.string(F.col("x")).alias("s"))
 
 
-@_query(f"SELECT event_id, CASE WHEN x IS NULL THEN '' ELSE x END AS s FROM ({_TEXTS})")
+@_query(f"SELECT event_id, coalesce(x, '') AS vector, x AS shape, coalesce(x, '') AS anything, CAST(NULL AS VARCHAR) AS in_a_document FROM ({_TEXTS})")
 def coerce_unknown(spark, d):
-    return _texts(spark, d).select("event_id", coerce.unknown(F.col("x")).alias("s"))
+    """Types that no map knows: text in a table, nothing in a document."""
+    own = lambda udt, nullable: coerce.coerce(F.col("x"), from_udt(udt, nullable))
+    value = documents.parse(F.concat(F.lit('{"$other":"'), F.col("x"), F.lit('"}')))
+    return _texts(spark, d).select("event_id", own("tsvector", False).alias("vector"), own("polygon", True).alias("shape"), coerce.unknown(F.col("x")).alias("anything"), documents.unknown(value).alias("in_a_document"))
 
 
 def _times(spark, d):
@@ -389,6 +398,67 @@ def key_extraction(spark, d):
     return changes.select("seq", changelog.key_of(F.col("payload"), [1, 3]).alias("k"))
 
 
+def _write_log(messages: DataFrame, path: str) -> None:
+    """A log of messages (seq, data) as a folder of JSON lines in the order of seq."""
+    lines = F.to_json(F.struct("seq", F.concat(F.lit("0/"), F.col("seq").cast("string")).alias("lsn"), F.lit("1").alias("xid"), F.base64("data").alias("data")))
+    messages.repartitionByRange(4, "seq").sortWithinPartitions("seq").select(lines).write.text(path)
+
+
+@_query(f"SELECT CAST(o_orderkey AS VARCHAR) AS k, {_OP} AS op, o_orderpriority || ' é' AS note FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderstatus <> 'F'")
+def cdc_stream_log(spark, d):
+    """A log read as a stream, a third of it a batch, each from where the last ended."""
+    path, rows = scratch_path(spark, "log"), _messages(spark, d)
+    _write_log(rows, f"{path}/log")
+    names = T.StructType([T.StructField(n, T.StringType()) for n in ("k", "note")])
+    replica = Replica(spark, f"{path}/replica", names, ["k"])
+
+    def decoded(batch: DataFrame) -> DataFrame:
+        cells = F.col("payload")
+        return pgoutput.decode(batch).filter("op IS NOT NULL").select("seq", "op", F.get(cells, F.lit(0))["text"].alias("k"), F.get(cells, F.lit(3))["text"].alias("note"))
+
+    query = follow(read_changes(spark, f"{path}/log", 1 + rows.count() // 3, timeout_millis=60_000), replica, f"{path}/checkpoint", decoded, available_now=False)
+    query.processAllAvailable()
+    query.stop()
+    return apply.ordered(replica.changes(), ["k"], truncates=False).select("k", "op", "note")
+
+
+_MOVED = 10_000_000
+
+
+@_query(
+    f"""WITH cut AS (SELECT max(o_orderkey) // 2 AS t FROM orders), log AS (
+      SELECT -1 AS seq, c_custkey AS k, c_acctbal AS v, 'I' AS op FROM customer
+      UNION ALL SELECT 2 * o_orderkey + 1, CASE WHEN o_orderkey % 11 = 0 THEN o_custkey + {_MOVED} ELSE o_custkey END, o_totalprice, CASE WHEN o_orderkey % 11 <> 0 AND o_orderstatus = 'F' THEN 'D' ELSE 'U' END FROM orders, cut WHERE o_orderkey <> t
+      UNION ALL SELECT 2 * o_orderkey, o_custkey, 0, 'D' FROM orders, cut WHERE o_orderkey % 11 = 0 AND o_orderkey <> t)
+    SELECT k, arg_max(v, seq) AS v, '' AS secret FROM log, cut WHERE seq > 2 * t + 1 GROUP BY k HAVING arg_max(op, seq) <> 'D'"""
+)
+def pipe_end_to_end(spark, d):
+    """From wire bytes to the view: a snapshot file, a log with moved keys and a truncate, batches, compaction, and the pipe once more."""
+    path = scratch_path(spark, "pipe")
+    columns = [{"name": "k", "udt": "int8", "nullable": False, "is_key": True}, {"name": "v", "udt": "float8", "nullable": False}, {"name": "secret", "udt": "text", "nullable": False}]
+    described = json.dumps({"relation_id": 7, "columns": columns, "comment": "balances"})
+    spark.createDataFrame([(described,)], "value string").coalesce(1).write.text(f"{path}/public.balance.columns.json")
+    customer = read_table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("k"), F.col("c_acctbal").cast("string").alias("v"), F.col("c_name").alias("secret"))
+    customer.select(copytext.encode_line([F.col(c) for c in customer.columns])).write.text(f"{path}/public.balance.copy")
+
+    rows = read_table(spark, d, "orders").crossJoin(read_table(spark, d, "orders").agg(F.floor(F.max("o_orderkey") / 2).alias("t")))
+    moves = F.col("o_orderkey") % 11 == 0
+    op = F.when(F.col("o_orderkey") == F.col("t"), "T").when(moves, "U").when(F.col("o_orderstatus") == "F", "D").when(F.col("o_orderstatus") == "O", "I").otherwise("U")
+    key = lambda more: (F.col("o_custkey") + more).cast("string")
+    new = pgoutput.encode_tuple([key(F.when(moves, _MOVED).otherwise(0)), F.col("o_totalprice").cast("string"), F.lit("s")], {2: op == "U"})
+    old = pgoutput.encode_tuple([key(F.lit(0)), F.lit("0"), F.lit("hidden")])
+    data = F.when(moves, pgoutput.encode_change(op, F.lit(7), new, old)).otherwise(pgoutput.encode_change(op, F.lit(7), new))
+    _write_log(rows.select(F.col("o_orderkey").alias("seq"), data.alias("data")), f"{path}/changes.jsonl")
+
+    table = SourceTable("balance", "public", mask_columns=("secret",))
+    own = Connection("localhost", "user", "password", "replica")
+    config = Configuration(Source("postgres", own, (table,)), Target(own), peek_changes_limit=1 + rows.count() // 3, peek_changes_timeout_millis=60_000)
+    for _ in range(2):  # the second has nothing left to do
+        pipe = RelationalPipe(spark, config, RelationalFiles(spark, path), f"{path}/replica", compact_every=2)
+        pipe.run()
+    return pipe.replicas["public.balance"].view()
+
+
 # Documents
 
 
@@ -441,7 +511,7 @@ def doc_to_string(spark, d):
     return docs.select("seq", *[documents.to_string(F.col(f"__v{k}"), F.col(f"__k{k}")).alias(n) for k, n in enumerate(names)])
 
 
-@_query("SELECT event_id AS seq, 'it''''s ' || chr(92) || chr(92) || ' ' || event_type || chr(92) || 'n' AS s FROM events")
+@_query("SELECT event_id AS seq, 'it''''s ' || chr(92) || chr(92) || ' ' || event_type || chr(10) AS s FROM events")
 def doc_escape(spark, d):
     """A document's text for a quoted SQL literal."""
     text = F.concat(F.lit('{"v":"' + r"it's \\ "), F.col("event_type"), F.lit(r'\n"}'))
@@ -478,9 +548,40 @@ def doc_infer_schema(spark, d):
 # Catalog and schema
 
 
-@_query("SELECT column_index::INT AS column_index, column_name FROM (SELECT ordinal_position AS column_index, column_name FROM information_schema.columns WHERE table_name = 'orders')")
+@_query(
+    """SELECT 'orders' AS table_name, ordinal_position::INT AS column_index, column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS data_type,
+    true AS nullable, false AS is_primary_key, '' AS comment FROM information_schema.columns WHERE table_name = 'orders'
+    UNION ALL SELECT * FROM (VALUES ('replica', 1, 'c_custkey', 'bigint', false, true, 'the customer''s key'), ('replica', 2, 'c_name', 'string', false, false, ''), ('replica', 3, 'c_nationkey', 'int', true, false, ''),
+    ('replica', 4, 'c_acctbal', 'double', true, false, ''), ('replica', 5, 'c_mktsegment', 'string', true, false, 'segment, ''as sold\'\''))""".replace("\\'\\'", "''")
+)
 def catalog_columns(spark, d):
-    return schema.columns_of(read_table(spark, d, "orders")).select("column_index", "column_name")
+    """The columns of a source table, and of a replica in the catalog; a table that is not there has none."""
+    name = "tidemark_" + uuid.uuid4().hex
+    schema.create_replica(spark, name, projection.schema_of(_CUSTOMER), scratch_path(spark, "catalog"), "customers")
+    replica = schema.columns_of_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    none = schema.columns_of_table(spark, name)
+    source = schema.columns_of(read_table(spark, d, "orders"))
+    return source.select(F.lit("orders").alias("table_name"), "*").unionByName(replica.unionByName(none).select(F.lit("replica").alias("table_name"), "*"))
+
+
+@_query("SELECT 'it''s all customers' AS comment UNION ALL SELECT ''")
+def table_comment(spark, d):
+    name = "tidemark_" + uuid.uuid4().hex
+    schema.create_replica(spark, name, projection.schema_of(_CUSTOMER), scratch_path(spark, "comment"), "it's all customers")
+    rows = [(schema.comment_of_table(spark, name),)]
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame([*rows, (schema.comment_of_table(spark, name),)], "comment string")
+
+
+@_query("SELECT count(*) AS n, true AS close FROM customer")
+def row_estimate(spark, d):
+    """The estimate of a file's rows, from its size, is near their number."""
+    rows = read_table(spark, d, "customer")
+    path = scratch_path(spark, "estimate")
+    rows.select(copytext.encode_line([F.col(c).cast("string") for c in rows.columns])).write.text(path)
+    about = snapshot.estimated_rows(spark, path)
+    return rows.agg(F.count("*").alias("n")).select("n", (F.abs(F.col("n") - about) <= 0.1 * F.col("n")).alias("close"))
 
 
 @_query("SELECT count(*) AS n_rows FROM lineitem")
