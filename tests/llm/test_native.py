@@ -93,11 +93,10 @@ def test_quality_rules_alike_at_every_length(spark):
         assert quality_rules.digits(vote, len(names))[names.index("few_distinct_words")] == quality_rules.KEEP
 
 
-def test_quality_against_loops(spark, documents):
-    """EM, the posterior and the verdict of every document against sums in plain loops."""
-    judged = quality_rules.judge(documents).collect()
+def good_by_loops(all_votes):
+    """P(good) of each document by EM in plain loops over documents."""
     families = [f for f, _, _ in quality_rules.rules().values()]
-    kinds, all_votes = list(dict.fromkeys(families)), [quality_rules.digits(r[OWN + "votes"], len(families)) for r in judged]
+    kinds = list(dict.fromkeys(families))
     member = []
     for v in all_votes:
         against = [sum(x == 2 for x, f in zip(v, families, strict=True) if f == kind) / families.count(kind) for kind in kinds]
@@ -105,7 +104,7 @@ def test_quality_against_loops(spark, documents):
         member.append([x / sum(raw) for x in raw])
     for _ in range(40):
         mass = [sum(m[c] for m in member) for c in range(len(kinds) + 1)]
-        share = [(0.5 + x) / (0.5 * len(mass) + len(judged)) for x in mass]
+        share = [(0.5 + x) / (0.5 * len(mass) + len(all_votes)) for x in mass]
         table = [[[(0.5 + sum(m[c] for m, v in zip(member, all_votes, strict=True) if v[k] == x)) / (1.5 + mass[c]) for x in (0, 1, 2)] for k in range(len(families))] for c in range(len(mass))]
         member = []
         for v in all_votes:
@@ -113,8 +112,14 @@ def test_quality_against_loops(spark, documents):
             for k, x in enumerate(v):
                 raw = [p * table[c][k][x] for c, p in enumerate(raw)]
             member.append([p / sum(raw) for p in raw])
-    for r, m in zip(judged, member, strict=True):
-        assert r[OWN + "p_good"] == pytest.approx(m[0], abs=1e-6)
+    return [m[0] for m in member]
+
+
+def test_quality_against_loops(spark, documents):
+    """EM, the posterior and the verdict of every document against sums in plain loops."""
+    judged = quality_rules.judge(documents).collect()
+    for r, good in zip(judged, good_by_loops([quality_rules.digits(r[OWN + "votes"], len(quality_rules.rules())) for r in judged]), strict=True):
+        assert r[OWN + "p_good"] == pytest.approx(good, abs=1e-6)
         assert r[OWN + "kept"] == (not base(r["text"])[-1] and r[OWN + "p_good"] >= 0.5)
 
 
