@@ -326,6 +326,90 @@ def test_lm_is_a_distribution():
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def mixed_by_loops(codes, hashes, tables, matches, rest_bits):
+    """The log2 probability of one document: every decision, weight and shift for itself."""
+    L, n = lm_scoring, len(codes)
+    ctx = L.contexts(codes, hashes, np.arange(n) == 0)
+    weights = {(d, k): float((L.INITIAL_MATCH if d == L.DEPTH else L.INITIAL)[k]) for d in range(L.DEPTH + 1) for k in range(L.TABLES + 1)}
+    shifts = collections.defaultdict(float)
+    total, learnt = 0.0, []
+    bounds = {0, 1, 3, 7, 15, 31, *range(64, n + 64, 32)} if n else set()
+    for t in range(n):
+        if t in bounds:
+            for key, step in learnt:
+                if key[0] == "w":
+                    weights[key[1:]] += step
+                else:
+                    shifts[key[1]] += step
+            for key in shifts:
+                shifts[key] = min(2.0, max(-2.0, shifts[key]))
+            learnt = []
+        decisions = []
+        has, hit, how = (x[t] for x in matches)
+        if has:
+            decisions.append((L.DEPTH, float(hit), [float(how[0]), float(how[1]), 0.0, 0.0, 0.3]))
+        if not (has and hit):
+            total += rest_bits[t]
+            for d in range(L.DEPTH):
+                node = np.array([1 << d | int(codes[t]) >> (L.DEPTH - d)], np.uint64)
+                x = [float(tables[k][L.slots_of(ctx[k][t : t + 1], node)[0]]) for k in range(L.TABLES)]
+                decisions.append((d, float(int(codes[t]) >> (L.DEPTH - 1 - d) & 1), [*x, 0.3]))
+        for d, bit, x in decisions:
+            z = sum(weights[d, k] * x[k] for k in range(len(x)))
+            bucket = min(L.ODDS - 1, max(0, int(z + L.ODDS / 2))) + (L.ODDS if d == L.DEPTH else 0)
+            p = 1 / (1 + math.exp(-min(12, max(-12, z + shifts[bucket]))))
+            total += math.log2(p if bit else 1 - p)
+            learnt += [(("w", d, k), L.RATE * (bit - p) * x[k]) for k in range(len(x))] + [(("s", bucket), L.SHIFT_RATE * (bit - p))]
+    return total
+
+
+@pytest.mark.parametrize("n", [1, 2, 40, 150])
+def test_lm_against_loops(n):
+    rng = np.random.default_rng(n)
+    tables = rng.normal(0, 1.5, (lm_scoring.TABLES, lm_scoring.SLOTS)).astype(np.float32)
+    codes = rng.integers(0, 1 << lm_scoring.DEPTH, n)
+    hashes = rng.integers(0, 2**63, n).astype(np.uint64)
+    has = rng.random(n) < 0.4
+    matches = has, has & (rng.random(n) < 0.8), rng.normal(1, 1, (n, 2)).astype(np.float32)
+    rest = -rng.random(n) * 9
+    other = np.array([3, n])  # beside another document
+    both = lambda a: np.concatenate([a[:1].repeat(3, axis=0), a])
+    got = lm_scoring.score_batch(other, both(codes), both(hashes), tables, tuple(both(x) for x in matches), both(rest))[1]
+    assert got == pytest.approx(mixed_by_loops(codes, hashes, tables, matches, rest), rel=2e-3)
+
+
+def test_lm_learns_in_short_texts():
+    blocks = lm_scoring.block_of(np.arange(200))
+    assert (np.diff(blocks) >= 0).all() and np.flatnonzero(np.diff(blocks)).tolist() == [0, 2, 6, 14, 30, 63, 95, 127, 159, 191]
+
+
+def test_lm_matches(spark):
+    """Text that another document repeats is cheap; a text that stands once is not made cheap by itself."""
+    rng = random.Random(12)
+    text = lambda: " ".join(f"w{rng.randint(0, 50_000)}" for _ in range(400))
+    once, twice, thrice = [text() for _ in range(40)], [text() for _ in range(20)], text()
+    rows = list(enumerate([*once, *twice, *twice, thrice, thrice, thrice]))
+    out = {r["doc_id"]: r["bits_per_byte"] for r in lm_scoring.score(spark.createDataFrame(rows, DOC)).collect()}
+    train = lambda k: zlib.crc32(str(k).encode()) % 7 != 2
+    alone = [out[k] for k in range(40)]
+    copied = [out[k] for k in range(40, 80) if train(40 + (k - 40 + 20) % 40)]  # the other copy trains
+    assert max(copied) < 0.5 * min(alone)
+    assert all(out[k] < 0.5 * min(alone) for k in range(80, 83))
+
+
+def test_lm_match_decision_is_no_gain_without_a_match():
+    """With a prediction, the probabilities of the predicted token and of all codes sum to one at most."""
+    rng = np.random.default_rng(4)
+    tables = rng.normal(0, 2, (lm_scoring.TABLES, lm_scoring.SLOTS)).astype(np.float32)
+    codes = rng.integers(0, 1 << lm_scoring.DEPTH, 10)
+    hashes = rng.integers(0, 2**63, 10).astype(np.uint64)
+    has, how = np.arange(10) == 9, np.ones((10, 2), np.float32)
+    score = lambda c, hit: lm_scoring.score_batch(np.array([10]), np.append(codes[:9], c), hashes, tables, (has, hit & has, how))[0]
+    before = lm_scoring.score_batch(np.array([9]), codes[:9], hashes[:9], tables)[0]
+    miss = sum(2 ** (score(c, np.zeros(10, bool)) - before) for c in range(1 << lm_scoring.DEPTH))
+    assert miss + 2 ** (score(0, np.ones(10, bool)) - before) == pytest.approx(1, abs=1e-3)
+
+
 def test_lm_without_training(spark):
     only = [k for k in range(200) if zlib.crc32(str(k).encode()) % 7 == 2]
     out = lm_scoring.score(spark.createDataFrame([(k, "a b") for k in only], DOC)).collect()
