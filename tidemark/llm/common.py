@@ -97,18 +97,24 @@ def release(spark: SparkSession, keep: set[str] = frozenset(), needed: DataFrame
 FILTER_BITS = 27
 
 
-def likely_in(rows: DataFrame, hash_of: Column, keys: DataFrame, key_hash: Column) -> DataFrame:
-    """The rows whose hash is among those of keys, and a few more: for large keys, before a shuffle join.
+def with_likely(rows: DataFrame, hash_of: Column, keys: DataFrame, key_hash: Column, name: str) -> DataFrame:
+    """rows with a boolean column: false where its hash is surely none of those of keys.
 
     keys become a bitmap of a fixed size, in pieces of 4 kB, that is broadcast.
     """
     at = lambda h: F.pmod(h, F.lit(1 << FILTER_BITS))
     piece, bit = lambda h: F.shiftright(at(h), 15), lambda h: at(h).bitwiseAND(F.lit(32767).cast("long"))
     bits = keys.groupBy(piece(key_hash).alias(f"{OWN}piece")).agg(F.bitmap_construct_agg(bit(key_hash)).alias(f"{OWN}bits"))
-    met = rows.withColumn(f"{OWN}piece", piece(hash_of)).withColumn(f"{OWN}bit", bit(hash_of)).join(F.broadcast(bits), f"{OWN}piece")
+    met = rows.withColumn(f"{OWN}piece", piece(hash_of)).withColumn(f"{OWN}bit", bit(hash_of)).join(F.broadcast(bits), f"{OWN}piece", "left")
     byte = F.conv(F.hex(F.substring(f"{OWN}bits", F.shiftright(f"{OWN}bit", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr(f"shiftright(__byte, CAST({OWN}bit & 7 AS INT)) & 1 = 1")
-    return met.withColumn("__byte", byte).filter(is_set).drop("__byte", *[OWN + c for c in ("piece", "bit", "bits")])
+    met = met.withColumn(f"{OWN}byte", byte)
+    is_set = F.coalesce(F.expr(f"shiftright({OWN}byte, CAST({OWN}bit & 7 AS INT)) & 1 = 1"), F.lit(False))
+    return met.withColumn(name, is_set).drop(*[OWN + c for c in ("piece", "bit", "bits", "byte")])
+
+
+def likely_in(rows: DataFrame, hash_of: Column, keys: DataFrame, key_hash: Column) -> DataFrame:
+    """The rows whose hash is among those of keys, and a few more: before a shuffle join with keys."""
+    return with_likely(rows, hash_of, keys, key_hash, f"{OWN}likely").filter(f"{OWN}likely").drop(f"{OWN}likely")
 
 
 def words(text: Column) -> Column:

@@ -14,13 +14,15 @@ overlaps its own first occurrence is no repetition. Below, windows are treated a
 
 A chunk counts if it has MIN_LINES lines with words or more, or over PASSAGE words.
 
-Chunks with one hash are counted over all documents. The occurrences of those that repeat (and no others) travel
-with their bytes, which are compared with the first occurrence's (least id, text hash, place): what
-is equal is removed, the first occurrence stays.
+Chunks with one hash are counted over all documents. Those that repeat are compared with their first
+occurrence (least id, text hash, place): line hash by line hash, and for each line hash in them the
+bytes of all lines of all texts that have it. What is equal is removed, the first occurrence stays.
 
-Shuffles: 24-byte counts, combined before the shuffle; the places and then the bytes of repeated
-chunks, where those of one chunk are dealt over many tasks; and the places of removed lines back to the
-documents (a broadcast of BROADCAST_ROWS places of 16 bytes at most, else a shuffle by document).
+Shuffles: counts, combined before the shuffle; the places of repeated chunks (a bitmap of their
+hashes, of a fixed size, is sent to the others), where those of one chunk are dealt over many tasks;
+the lines in repeated chunks, each once a task; and the places of removed lines back to the
+documents (a broadcast of BROADCAST_ROWS places at most; beyond it a shuffle of the documents that
+lose lines, and a bitmap of these for the others).
 
 Cases: null and empty texts have no chunk and stay as they are; lines without words never count but
 belong to the chunk around them; a text whose chunks are all removed becomes empty (`clean` drops
@@ -33,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import OWN, SPACE, free, mark, mark_of, materialize, read_table, release
+from tidemark.llm.common import OWN, SPACE, free, likely_in, mark, mark_of, materialize, read_table, release, with_likely
 
 BOUNDARY_BITS = 3  # a boundary where r & 3 == 0: four lines a chunk
 MIN_LINES = 2
@@ -49,7 +51,7 @@ def _n_words(line: Column) -> Column:
 
 
 def chunked(rows: DataFrame, text: str) -> DataFrame:
-    """rows with a column OWN + 'chunks': an array of (first, last, lines, words, hash, cut) of each text's chunks, and its windows (cut is false)."""
+    """rows with a column OWN + 'chunks': an array of (first, last, lines, words, hash, cut, seq: the hashes of its lines) of each text's chunks, and its windows (cut is false)."""
     p = OWN
     cut = rows.withColumn(f"{p}line", F.split(F.col(text), "\n"))
     line = F.col(f"{p}line")
@@ -72,9 +74,12 @@ def chunked(rows: DataFrame, text: str) -> DataFrame:
     m, full, most = F.col(f"{p}m"), (PASSAGE + 1) * 64, PASSAGE + 1
     reach = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, x: F.when(a >= full, a).otherwise(a + x * 64 + 1))
     steps = lambda a: F.when(a >= full, a.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    ahead = F.transform(worded, lambda i, k: F.struct(i.alias("first"), F.get(worded, k - 1 + steps(reach(F.slice(m, k + 1, most)))).alias("last")))
-    before = lambda k: F.reverse(F.slice(m, F.greatest(k + 2 - most, F.lit(1)), F.least(k + 1, F.lit(most))))
-    behind = F.transform(worded, lambda i, k: F.struct(F.get(worded, k + 1 - steps(reach(before(k)))).alias("first"), i.alias("last")))
+    # A fold has no early end: four lines are tried first, which mostly are enough.
+    some = lambda part: F.when(reach(part(4)) >= full, reach(part(4))).otherwise(reach(part(most)))
+    after = lambda k: lambda size: F.slice(m, k + 1, size)
+    before = lambda k: lambda size: F.reverse(F.slice(m, F.greatest(k + 2 - size, F.lit(1)), F.least(k + 1, F.lit(size))))
+    ahead = F.transform(worded, lambda i, k: F.struct(i.alias("first"), F.get(worded, k - 1 + steps(some(after(k)))).alias("last")))
+    behind = F.transform(worded, lambda i, k: F.struct(F.get(worded, k + 1 - steps(some(before(k)))).alias("first"), i.alias("last")))
     windows = F.filter(F.concat(ahead, behind), lambda s: s["first"].isNotNull() & s["last"].isNotNull())
     cut = cut.withColumn(f"{p}windows", F.array_except(windows, F.col(f"{p}spans")))
 
@@ -82,8 +87,8 @@ def chunked(rows: DataFrame, text: str) -> DataFrame:
         own = F.slice(n, s["first"] + 1, s["last"] - s["first"] + 1)
         worded = F.aggregate(own, F.lit(0), lambda a, x: a + F.when(x > 0, 1).otherwise(0))
         counted = F.aggregate(own, F.lit(0), lambda a, x: a + x)
-        digest = F.xxhash64(F.slice(h, s["first"] + 1, s["last"] - s["first"] + 1))
-        return F.struct(s["first"].alias("first"), s["last"].alias("last"), worded.alias("lines"), counted.alias("words"), digest.alias("hash"), F.lit(of_cut).alias("cut"))
+        seq = F.slice(h, s["first"] + 1, s["last"] - s["first"] + 1)
+        return F.struct(s["first"].alias("first"), s["last"].alias("last"), worded.alias("lines"), counted.alias("words"), F.xxhash64(seq).alias("hash"), F.lit(of_cut).alias("cut"), seq.alias("seq"))
 
     every = F.concat(F.transform(f"{p}spans", lambda s: describe(s, True)), F.transform(f"{p}windows", lambda s: describe(s, False)))
     return cut.withColumn(f"{p}chunks", every).drop(*[p + c for c in ("n", "h", "ends", "spans", "worded", "m", "windows")])
@@ -98,25 +103,27 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     counts = (F.col("c.lines") >= MIN_LINES) | (F.col("c.words") > PASSAGE)
     # explode() would put a filter on the array's size below the projections, with all their expressions unfolded into it.
     found = chunked(texts, "body").select("id", "text_hash", F.explode_outer(f"{OWN}chunks").alias("c")).filter(counts)
-    found = materialize(found.select("id", "text_hash", F.col("c.first").alias("first"), F.col("c.last").alias("last"), F.col("c.hash").alias("hash"), F.col("c.cut").alias("cut")))
+    found = materialize(found.select("id", "text_hash", *[F.col(f"c.{c}").alias(c) for c in ("first", "last", "hash", "cut", "seq")]))
     place = F.xxhash64("id", "text_hash", "first")
-    again = found.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.ceil(F.count("*") / FAN).alias("fan")).filter("a <> b").select("hash", "fan")
-    again = materialize(found.join(again, "hash").distinct())
-    repeats = _repeats(found)
-    free(found)
-    spans = again.groupBy(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash")).agg(F.collect_list(F.struct("first", "last", "hash", "cut", "fan")).alias("spans"))
-    spans = _small(spans, again.count())
-    same = texts["id"].eqNullSafe(spans["its_id"]) & (texts["text_hash"] == spans["its_hash"])
-    own = texts.join(spans, same).dropDuplicates(["id", "text_hash"]) if repeats else texts.join(spans, same)
-    own = own.withColumn("line", F.split("body", "\n")).select("id", "text_hash", "line", F.explode("spans").alias("s"))
-    bytes_of = F.array_join(F.slice("line", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + 1), "\n")
-    own = materialize(own.select("id", "text_hash", "s.first", "s.last", "s.hash", "s.cut", "s.fan", bytes_of.alias("chunk")))
-    free(again)
-    named = F.struct("id", "text_hash", "first")
-    stays = own.groupBy("hash", "fan").agg(F.min(named).alias("stays"))
-    kept = _joined(own, stays).filter(named.eqNullSafe(F.col("stays"))).select("hash", "fan", F.col("chunk").alias("kept_chunk"), "stays", F.col("last").alias("stays_to"))
-    overlaps = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("text_hash") == F.col("stays.text_hash")) & (F.col("first") <= F.col("stays_to"))
-    return _joined(own, materialize(kept)).filter((F.col("chunk") == F.col("kept_chunk")) & ~overlaps).select("id", "text_hash", "first", "last", "hash", "cut")
+    chunks = found.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.ceil(F.count("*") / FAN).alias("fan")).filter("a <> b").select("hash", "fan")
+    chunks = materialize(chunks)
+    again = likely_in(found, F.col("hash"), chunks, F.col("hash")).join(chunks, "hash")
+    again = materialize(again.groupBy("id", "text_hash", "first", "last", "hash", "fan", "seq").agg(F.max("cut").alias("cut")))
+    free(found, chunks)
+    stays = again.groupBy("hash", "fan").agg(F.min(F.struct("id", "text_hash", "first", "last", "seq")).alias("stays"))
+    overlaps = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("text_hash") == F.col("stays.text_hash")) & (F.col("first") <= F.col("stays.last"))
+    gone = _joined(again, materialize(stays)).filter((F.col("seq") == F.col("stays.seq")) & ~overlaps)
+    gone = gone.join(_unequal(texts, again), "hash", "left_anti")
+    return gone.select("id", "text_hash", "first", "last", "hash", "cut")
+
+
+def _unequal(texts: DataFrame, again: DataFrame) -> DataFrame:
+    """(hash) of the repeated chunks with a line whose hash several different lines have: all bytes are compared."""
+    sought = materialize(again.select(F.explode("seq").alias("h")).distinct())
+    lines = texts.select(F.explode(F.split("body", "\n")).alias("line"))
+    lines = likely_in(lines, F.xxhash64("line"), sought, F.col("h")).groupBy(F.xxhash64("line").alias("h"))
+    bad = materialize(lines.agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a <> b").select("h"))
+    return again.select("hash", F.explode("seq").alias("h")).join(bad, "h", "left_semi").select("hash").distinct()
 
 
 def _joined(rows: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -127,23 +134,27 @@ def _joined(rows: DataFrame, chunks: DataFrame) -> DataFrame:
     return dealt.join(copies, ["hash", salt]).drop(salt)
 
 
-def _repeats(found: DataFrame) -> bool:
-    """Whether there are equal rows (of one id and text)."""
-    return not found.groupBy("id", "text_hash", "first", "last").count().filter("count > 1").isEmpty()
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with its text cleaned and the columns OWN + 'lines', OWN + 'removed' (numbers of lines), OWN + 'chunks' (removed)."""
     before = mark(docs.sparkSession)
     gone = materialize(removals(docs, key, text))
     release(docs.sparkSession, before | mark_of(gone), docs)
-    gone_of = gone.groupBy(F.col("id").alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}hash")).agg(F.collect_set(F.struct("first", "last")).alias(f"{OWN}spans"), F.count_if("cut").alias(f"{OWN}chunks"))
-    gone_of = _small(gone_of, gone.count())
-    joined = docs.join(gone_of, docs[key].eqNullSafe(gone_of[f"{OWN}id"]) & (F.xxhash64(docs[text]) == gone_of[f"{OWN}hash"]), "left")
+    # Overlapping spans become one, so that a document has few.
+    spans = F.sort_array(F.collect_set(F.struct("first", "last")))
+    last = lambda a: F.element_at(a, -1)
+    step = lambda a, x: F.when((F.size(a) > 0) & (x["first"] <= F.get(a, F.size(a) - 1)["last"] + 1), F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last(a)["first"].alias("first"), F.greatest(last(a)["last"], x["last"]).alias("last"))))).otherwise(F.concat(a, F.array(x)))
+    gone_of = gone.groupBy(F.col("id").alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}hash")).agg(spans.alias("s"), F.count_if("cut").alias(f"{OWN}chunks"))
+    gone_of = materialize(gone_of.select(f"{OWN}id", f"{OWN}hash", F.aggregate("s", F.array().cast("array<struct<first:int,last:int>>"), step).alias(f"{OWN}spans"), f"{OWN}chunks"))
+    n_spans = gone_of.agg(F.coalesce(F.sum(F.size(f"{OWN}spans")), F.lit(0))).first()[0]
+    same = docs[key].eqNullSafe(gone_of[f"{OWN}id"]) & (F.xxhash64(docs[text]) == gone_of[f"{OWN}hash"])
+    if n_spans <= BROADCAST_ROWS:
+        joined = docs.join(F.broadcast(gone_of), same, "left")
+    else:
+        likely = f"{OWN}likely"
+        flagged = with_likely(docs, F.xxhash64(key, F.xxhash64(text)), gone_of, F.xxhash64(f"{OWN}id", f"{OWN}hash"), likely)
+        none = {c.name: F.lit(None).cast(c.dataType) for c in gone_of.schema}
+        same = flagged[key].eqNullSafe(gone_of[f"{OWN}id"]) & (F.xxhash64(flagged[text]) == gone_of[f"{OWN}hash"])
+        joined = flagged.filter(likely).join(gone_of, same, "left").unionByName(flagged.filter(~F.col(likely)).withColumns(none))
     joined = joined.withColumn(f"{OWN}line", F.split(F.col(text), "\n"))
     joined = joined.withColumn(f"{OWN}gone", F.array_distinct(F.flatten(F.transform(f"{OWN}spans", lambda s: F.sequence(s["first"], s["last"])))))
     line, own_gone = F.col(f"{OWN}line"), F.col(f"{OWN}gone")
