@@ -65,10 +65,10 @@ def free(*tables: DataFrame) -> None:
             own.remove(df._scratch_path)
             drop_path(df.sparkSession, df._scratch_path)
     if tables:
-        _collect(tables[0].sparkSession)
+        settle(tables[0].sparkSession)
 
 
-def _collect(spark: SparkSession) -> None:
+def settle(spark: SparkSession) -> None:
     """Let go of the shuffle files of ended jobs: Spark removes them when the driver's JVM collects what names them."""
     spark.sparkContext._jvm.System.gc()
 
@@ -90,7 +90,7 @@ def release(spark: SparkSession, keep: set[str] = frozenset(), needed: DataFrame
         for path in [x for x in own if x not in keep and not any(f"/tidemark/{x.rsplit('/', 1)[1]}/" in f for f in read)]:
             own.remove(path)
             drop_path(spark, path)
-        _collect(spark)
+        settle(spark)
 
 
 #: Two to this power bits of a filter of hashes: 16 MB, whatever the input.
