@@ -194,10 +194,33 @@ def test_notices_by_edit_distance():
             own[j : j + 1] = rng.choice([[], [rng.choice("abcxyz")], [own[j], "q"]])
         body = " " + " ".join(f"w{k}" for k in range(20)) + " " + "".join(own) + " tail "
         body = re.sub(" +", " ", body)
-        if scanner.patterns[licenses.NOTICES.index(n)].search(body):
+        if scanner.matched(licenses.NOTICES.index(n), body):
             assert n.label in {x["label"] for x in scanner.find(body)}, own
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("licensed under CC BY-SA 4.0", {"cc-by-sa"}),
+        ("licensed under CC BY 4.0", set()),
+        ("lisensed under CC-BY-NC", {"cc-by-nc"}),
+        ("released under the ISC license", {"isc"}),
+        ("released under the BSD licence", {"bsd"}),
+        ("relased under the MIT licence", {"mit"}),
+        ("GNU Affero General Public License", {"agpl"}),
+        ("the GNU Leser General Public License", set()),
+        ("the GNU Lesser Genral Public License", {"lgpl"}),
+        ("", set()),
+    ],
+)
+def test_notices_that_differ_in_a_word(text, labels):
+    assert {x["label"] for x in licenses.scan_text(text, licenses.Scanner())["notices"]} == labels
+
+
+def test_licenses_of_an_empty_table(spark):
+    assert licenses.scan(spark.createDataFrame([], DOC)).count() == 0
+
+
 # Mixing
 
 

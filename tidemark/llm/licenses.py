@@ -38,6 +38,7 @@ class Notice:
     text: str  # words joined by single spaces
     label: str
     edits: int
+    must: tuple[str, ...] = ()  # words that tell the license: edits are only allowed in the rest
 
     def pieces(self) -> list[tuple[int, str]]:
         """edits + 1 pieces that make up the text, with their offsets."""
@@ -46,16 +47,32 @@ class Notice:
 
 
 NOTICES = (
-    Notice("licensed under the gnu general public license", "gpl", 4),
-    Notice("gnu lesser general public license", "lgpl", 2),
-    Notice("licensed under the apache license version 2 0", "apache", 4),
-    Notice("licensed under cc by nc", "cc-by-nc", 2),
+    Notice("licensed under the gnu general public license", "gpl", 4, ("general",)),
+    Notice("gnu lesser general public license", "lgpl", 2, ("lesser",)),
+    Notice("gnu affero general public license", "agpl", 2, ("affero",)),
+    Notice("licensed under the apache license version 2 0", "apache", 4, ("apache",)),
+    Notice("licensed under cc by nc", "cc-by-nc", 2, ("cc", "by", "nc")),
+    Notice("licensed under cc by sa", "cc-by-sa", 2, ("cc", "by", "sa")),
+    Notice("licensed under cc by nd", "cc-by-nd", 2, ("cc", "by", "nd")),
     Notice("creative commons attribution", "cc-by", 3),
-    Notice("released under the mit license", "mit", 3),
+    Notice("creative commons attribution noncommercial", "cc-by-nc", 4, ("noncommercial",)),
+    Notice("creative commons attribution sharealike", "cc-by-sa", 4, ("sharealike",)),
+    Notice("creative commons zero", "cc0", 2, ("zero",)),
+    Notice("released under the mit license", "mit", 3, ("mit",)),
     Notice("permission is hereby granted free of charge to any person obtaining a copy", "mit", 7),
+    Notice("permission to use copy modify and or distribute this software for any purpose with or without fee", "isc", 8),
+    Notice("released under the isc license", "isc", 3, ("isc",)),
     Notice("redistribution and use in source and binary forms with or without modification", "bsd", 7),
-    Notice("subject to the terms of the mozilla public license", "mpl", 5),
+    Notice("released under the bsd license", "bsd", 3, ("bsd",)),
+    Notice("boost software license", "bsl", 2, ("boost",)),
+    Notice("subject to the terms of the mozilla public license", "mpl", 5, ("mozilla",)),
+    Notice("eclipse public license", "epl", 2, ("eclipse",)),
+    Notice("common development and distribution license", "cddl", 4, ("development",)),
+    Notice("european union public licence", "eupl", 2, ("european",)),
+    Notice("sil open font license", "ofl", 2, ("font",)),
+    Notice("open database license", "odbl", 2, ("database",)),
     Notice("released into the public domain", "public-domain", 3),
+    Notice("free and unencumbered software", "unlicense", 3),
     Notice("all rights reserved", "all-rights-reserved", 2),
 )
 
@@ -98,6 +115,17 @@ class Scanner:
             self.seeds.add_word(piece, (len(piece), own))
         self.seeds.make_automaton()
 
+    def matched(self, k: int, body: str, a: int = 0, b: int | None = None) -> regex.Match | None:
+        """The best match of a notice in a part of a text, if the words that it must have are whole in it."""
+        m = self.patterns[k].search(body, a, len(body) if b is None else b)
+        whole = m and f" {' '.join(m[0].split())} "
+        # An edit at the match's ends may have cut a word of the text: then it isn't whole either.
+        if m and m.start() and body[m.start() - 1] != " " and body[m.start()] != " ":
+            whole = whole[1:]
+        if m and m.end() < len(body) and body[m.end()] != " " and body[m.end() - 1] != " ":
+            whole = whole[:-1]
+        return m if m and all(f" {w} " in whole for w in self.notices[k].must) else None
+
     def find(self, body: str) -> list[dict]:
         """The best match around each seed; of overlapping matches of one label, the best."""
         windows = {}
@@ -108,7 +136,7 @@ class Scanner:
                 windows.setdefault((k, a // (n.edits + 1)), (max(0, a - n.edits), a + len(n.text) + 3 * n.edits))
         found: dict[str, list[tuple[int, int, int, float]]] = {}
         for (k, _), (a, b) in sorted(windows.items()):
-            if m := self.patterns[k].search(body, a, b):
+            if m := self.matched(k, body, a, b):
                 start, stop = m.span()
                 while start < stop and body[start] == " ":
                     start += 1
