@@ -410,7 +410,9 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
         own = np.frombuffer(zlib.decompress(r["body"]), np.uint8)
         bits[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(own)] = own
     wanted = spark.sparkContext.broadcast(bits)
-    return materialize(docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(wanted), "node long, own binary"))
+    sets = materialize(docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(wanted), "node long, own binary"))
+    wanted.destroy()  # the table is written: nothing asks for it again
+    return sets
 
 
 def _tiled(docs: DataFrame, sized: DataFrame) -> DataFrame:
@@ -422,9 +424,12 @@ def _tiled(docs: DataFrame, sized: DataFrame) -> DataFrame:
         counters[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(own)] = own
     shingles = sized.filter("chunk IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     cells = 1 + shingles // (4 * CELL)
-    run = _postings(spark.sparkContext.broadcast(counters), int(np.median(counters)), cells)
+    table = spark.sparkContext.broadcast(counters)
+    run = _postings(table, int(np.median(counters)), cells)
     packed = docs.select("text").mapInArrow(run, "cell int, steps binary, nodes binary, sizes binary, which binary, ranks binary")
-    return materialize(packed.groupBy("cell").applyInArrow(_tiles, "key long, node long, n long, place long, hub long"))
+    tiles = materialize(packed.groupBy("cell").applyInArrow(_tiles, "key long, node long, n long, place long, hub long"))
+    table.destroy()
+    return tiles
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
