@@ -243,33 +243,34 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 40, rate: float = 0.5, ridge: float = 1e-3) -> Crf:
-    """Adagrad on the penalised log-likelihood of (features, labels) sequences."""
+    """Adagrad on the penalised log-likelihood of (features, labels) sequences, all pages at once, block by block."""
+    pages = [(rows, labels) for rows, labels in pages if rows]
     names = {x: k for k, x in enumerate(sorted({x for rows, _ in pages for row in rows for x in row}))}
     crf = Crf(names, np.zeros((len(names), 2)), np.zeros((2, 2)), np.zeros(2))
-    ids = [[np.array([names[x] for x in row]) for row in rows] for rows, _ in pages]
+    blocks = [row for rows, _ in pages for row in rows]
+    ids = np.array([names[x] for row in blocks for x in row])
+    sizes = np.array([len(row) for row in blocks])
+    starts = np.cumsum(sizes) - sizes
+    there = np.arange(max(len(rows) for rows, _ in pages))[None, :] < np.array([len(rows) for rows, _ in pages])[:, None]
+    length = there.shape[1]
+    truth = np.zeros((*there.shape, 2))
+    truth[there] = np.eye(2)[[y for _, labels in pages for y in labels]]
+    moved = np.einsum("pka,pkb->ab", truth[:, :-1], truth[:, 1:])
+    s = np.zeros((*there.shape, 2))
     past = [np.full_like(x, 1e-6) for x in (crf.weights, crf.moves, crf.start)]
     for _ in range(rounds):
-        grads = [np.zeros_like(x) for x in (crf.weights, crf.moves, crf.start)]
-        for own, (_, labels) in zip(ids, pages, strict=True):
-            n = len(own)
-            s = np.array([crf.weights[i].sum(axis=0) for i in own])
-            up, down = np.zeros((n, 2)), np.zeros((n, 2))
-            up[0] = s[0] + crf.start
-            for k in range(1, n):
-                up[k] = s[k] + _logsum(up[k - 1][:, None] + crf.moves, 0)
-            for k in range(n - 2, -1, -1):
-                down[k] = _logsum(crf.moves + (s[k + 1] + down[k + 1])[None, :], 1)
-            total = _logsum(up[-1], 0)
-            p = np.exp(up + down - total)
-            for k in range(n):
-                g = -p[k]
-                g[labels[k]] += 1
-                grads[0][own[k]] += g
-                if k:
-                    grads[1] -= np.exp(up[k - 1][:, None] + crf.moves + (s[k] + down[k])[None, :] - total)
-                    grads[1][labels[k - 1], labels[k]] += 1
-            grads[2] -= p[0]
-            grads[2][labels[0]] += 1
+        s[there] = np.add.reduceat(crf.weights[ids], starts)
+        up, down = np.zeros_like(s), np.zeros_like(s)
+        up[:, 0] = s[:, 0] + crf.start
+        for k in range(1, length):
+            up[:, k] = np.where(there[:, k, None], s[:, k] + _logsum(up[:, k - 1, :, None] + crf.moves, 1), up[:, k - 1])
+        for k in range(length - 2, -1, -1):
+            down[:, k] = np.where(there[:, k + 1, None], _logsum(crf.moves + (s[:, k + 1] + down[:, k + 1])[:, None, :], 2), 0)
+        total = _logsum(up[:, -1], 1)[:, None, None]
+        off = truth - np.where(there[:, :, None], np.exp(np.minimum(up + down - total, 0)), 0)
+        pairs = np.exp(np.minimum(up[:, :-1, :, None] + crf.moves + (s + down)[:, 1:, None, :] - total[..., None], 0)) * there[:, 1:, None, None]
+        grads = [np.zeros_like(crf.weights), moved - pairs.sum(axis=(0, 1)), off[:, 0].sum(axis=0)]
+        np.add.at(grads[0], ids, np.repeat(off[there], sizes, axis=0))
         for own, g, seen in zip((crf.weights, crf.moves, crf.start), grads, past, strict=True):
             g = g / len(pages) - ridge * own
             seen += g * g
