@@ -93,17 +93,18 @@ def release(spark: SparkSession, keep: set[str] = frozenset(), needed: DataFrame
         settle(spark)
 
 
-#: Two to this power bits of a filter of hashes: 16 MB, whatever the input.
+#: Two to this power bits of a filter of hashes at most: 16 MB, whatever the input.
 FILTER_BITS = 27
 
 
-def with_likely(rows: DataFrame, hash_of: Column, keys: DataFrame, key_hash: Column, name: str) -> DataFrame:
+def with_likely(rows: DataFrame, hash_of: Column, keys: DataFrame, key_hash: Column, n_keys: int, name: str) -> DataFrame:
     """rows with a boolean column: false where its hash is surely none of those of keys.
 
-    keys become a bitmap of a fixed size, in pieces of 4 kB, that is broadcast.
+    keys become a bitmap, in pieces of 4 kB, that is broadcast: 16 bits a key, up to its largest size.
     """
-    at = lambda h: F.pmod(h, F.lit(1 << FILTER_BITS))
-    piece, bit = lambda h: F.shiftright(at(h), 15), lambda h: at(h).bitwiseAND(F.lit(32767).cast("long"))
+    size = 1 << min(FILTER_BITS, max(15, (16 * n_keys).bit_length()))
+    at = lambda h: F.pmod(h, F.lit(size))
+    piece, bit = lambda h: F.shiftright(at(h).cast("long"), 15), lambda h: at(h).cast("long").bitwiseAND(F.lit(32767).cast("long"))
     bits = keys.groupBy(piece(key_hash).alias(f"{OWN}piece")).agg(F.bitmap_construct_agg(bit(key_hash)).alias(f"{OWN}bits"))
     met = rows.withColumn(f"{OWN}piece", piece(hash_of)).withColumn(f"{OWN}bit", bit(hash_of)).join(F.broadcast(bits), f"{OWN}piece", "left")
     byte = F.conv(F.hex(F.substring(f"{OWN}bits", F.shiftright(f"{OWN}bit", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
@@ -112,9 +113,9 @@ def with_likely(rows: DataFrame, hash_of: Column, keys: DataFrame, key_hash: Col
     return met.withColumn(name, is_set).drop(*[OWN + c for c in ("piece", "bit", "bits", "byte")])
 
 
-def likely_in(rows: DataFrame, hash_of: Column, keys: DataFrame, key_hash: Column) -> DataFrame:
+def likely_in(rows: DataFrame, hash_of: Column, keys: DataFrame, key_hash: Column, n_keys: int) -> DataFrame:
     """The rows whose hash is among those of keys, and a few more: before a shuffle join with keys."""
-    return with_likely(rows, hash_of, keys, key_hash, f"{OWN}likely").filter(f"{OWN}likely").drop(f"{OWN}likely")
+    return with_likely(rows, hash_of, keys, key_hash, n_keys, f"{OWN}likely").filter(f"{OWN}likely").drop(f"{OWN}likely")
 
 
 def words(text: Column) -> Column:

@@ -77,7 +77,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     def met(rows: DataFrame, table: DataFrame) -> DataFrame:
         if n_items > BROADCAST_ROWS:
-            return likely_in(rows, F.col("hash"), table, F.col("hash")).join(table, "hash")
+            return likely_in(rows, F.col("hash"), table, F.col("hash"), n_items).join(table, "hash")
         return rows.join(F.broadcast(table), "hash")
 
     def hashed(rows: DataFrame) -> DataFrame:

@@ -107,7 +107,7 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     place = F.xxhash64("id", "text_hash", "first")
     chunks = found.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.ceil(F.count("*") / FAN).alias("fan")).filter("a <> b").select("hash", "fan")
     chunks = materialize(chunks)
-    again = likely_in(found, F.col("hash"), chunks, F.col("hash")).join(chunks, "hash")
+    again = likely_in(found, F.col("hash"), chunks, F.col("hash"), chunks.count()).join(chunks, "hash")
     again = materialize(again.groupBy("id", "text_hash", "first", "last", "hash", "fan", "seq").agg(F.max("cut").alias("cut")))
     free(found, chunks)
     stays = again.groupBy("hash", "fan").agg(F.min(F.struct("id", "text_hash", "first", "last", "seq")).alias("stays"))
@@ -121,7 +121,7 @@ def _unequal(texts: DataFrame, again: DataFrame) -> DataFrame:
     """(hash) of the repeated chunks with a line whose hash several different lines have: all bytes are compared."""
     sought = materialize(again.select(F.explode("seq").alias("h")).distinct())
     lines = texts.select(F.explode(F.split("body", "\n")).alias("line"))
-    lines = likely_in(lines, F.xxhash64("line"), sought, F.col("h")).groupBy(F.xxhash64("line").alias("h"))
+    lines = likely_in(lines, F.xxhash64("line"), sought, F.col("h"), sought.count()).groupBy(F.xxhash64("line").alias("h"))
     bad = materialize(lines.agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a <> b").select("h"))
     return again.select("hash", F.explode("seq").alias("h")).join(bad, "h", "left_semi").select("hash").distinct()
 
@@ -151,7 +151,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         joined = docs.join(F.broadcast(gone_of), same, "left")
     else:
         likely = f"{OWN}likely"
-        flagged = with_likely(docs, F.xxhash64(key, F.xxhash64(text)), gone_of, F.xxhash64(f"{OWN}id", f"{OWN}hash"), likely)
+        flagged = with_likely(docs, F.xxhash64(key, F.xxhash64(text)), gone_of, F.xxhash64(f"{OWN}id", f"{OWN}hash"), gone_of.count(), likely)
         none = {c.name: F.lit(None).cast(c.dataType) for c in gone_of.schema}
         same = flagged[key].eqNullSafe(gone_of[f"{OWN}id"]) & (F.xxhash64(flagged[text]) == gone_of[f"{OWN}hash"])
         joined = flagged.filter(likely).join(gone_of, same, "left").unionByName(flagged.filter(~F.col(likely)).withColumns(none))

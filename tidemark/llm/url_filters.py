@@ -115,10 +115,10 @@ def _tokens(site: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(ascii_lower(site), "[^a-z0-9]+"), ""))
 
 
-def _fetched(urls: DataFrame, table: DataFrame, large: bool, how: str = "inner") -> DataFrame:
+def _fetched(urls: DataFrame, table: DataFrame, n_rules: int, how: str = "inner") -> DataFrame:
     """urls, a row a token, joined with a table by token."""
-    if large:
-        return likely_in(urls, F.xxhash64("token"), table, F.xxhash64("token")).join(table, "token", how)
+    if n_rules > BROADCAST_RULES:
+        return likely_in(urls, F.xxhash64("token"), table, F.xxhash64("token"), n_rules).join(table, "token", how)
     return urls.join(F.broadcast(table), "token", how)
 
 
@@ -131,7 +131,7 @@ def index(sites: DataFrame, rules: list) -> DataFrame:
     rows = [(k, r.text, r.verdict, r.pattern, isinstance(r, SiteRule), [_lower(t) for t in r.tokens] or [""]) for k, r in enumerate(rules)]
     table = sites.sparkSession.createDataFrame(rows, schema).select("*", F.explode("tokens").alias("token"))
     wanted = table.select("token").distinct()
-    seen = _fetched(sites.select(F.explode(f"{OWN}tokens").alias("token")), wanted, len(rules) > BROADCAST_RULES, "left_semi").groupBy("token").count()
+    seen = _fetched(sites.select(F.explode(f"{OWN}tokens").alias("token")), wanted, len(rules), "left_semi").groupBy("token").count()
     rarest = F.min_by("token", F.struct(F.coalesce("count", F.lit(0)), "token"))
     return table.join(seen, "token", "left").groupBy("rule_no", "text", "verdict", "pattern", "is_site").agg(rarest.alias("token"))
 
@@ -153,7 +153,7 @@ def filter_urls(pages: DataFrame, key: str = "page_id", url: str = "url", site_r
     every = F.array(F.lit("")) if any(not r.tokens for r in rules) else F.array().cast("array<string>")
     own = [no, f"{OWN}key", host, path]
     if large:
-        met = _fetched(sites.select(no, F.explode(F.concat(every, f"{OWN}tokens")).alias("token")), filed, large)
+        met = _fetched(sites.select(no, F.explode(F.concat(every, f"{OWN}tokens")).alias("token")), filed, len(rules))
         fetched = sites.select(*own).join(met, no, "left")
     else:
         # The tokens of a row stay in its partition: partial aggregation leaves one row a page to shuffle.
