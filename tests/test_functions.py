@@ -104,3 +104,25 @@ def test_document_values(spark, value, kind, text):
     doc = documents.parse(F.lit('{"v":' + value + "}"))
     assert one(spark, documents.kind_of(documents.field(doc, "v"))) == kind
     assert one(spark, documents.to_string(documents.field(doc, "v"))) == text
+
+
+@pytest.mark.parametrize(
+    ("millis", "text"),
+    [
+        (2932896 * 86_400_000, "9999-12-31 00:00:00"),
+        (2932897 * 86_400_000, "10000-01-01 00:00:00"),
+        (6_000_000 * 86_400_000 + 3_661_999, "18397-06-11 01:01:01"),
+        (-1, "1969-12-31 23:59:59"),
+        (-719_529 * 86_400_000, "-0001-12-31 00:00:00"),
+        (2**63 - 1, "1970-01-01 00:00:00"),
+        (-(2**63), "1970-01-01 00:00:00"),
+    ],
+)
+def test_far_dates(spark, millis, text):
+    """Years after 9999 have no sign; a date that no timestamp holds is the epoch; the session's zone doesn't matter."""
+    value = documents.field(documents.parse(F.lit('{"v":{"$date":{"$numberLong":"%d"}}}' % millis)), "v")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert one(spark, documents.to_string(value)) == text
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

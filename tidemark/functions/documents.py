@@ -63,9 +63,22 @@ def change_to_document(op: Column, key: Column, full: Column, replace_is_update:
     return F.when(op == "delete", key).when(op.isin(*updates), full)
 
 
+def _utc(seconds: Column) -> Column:
+    """The text of a time in UTC, whatever the session's zone. Years after 9999 have no sign; what a timestamp can't hold is the epoch."""
+    held = F.when(F.abs(seconds) >= 86400 * _DAYS, 0).otherwise(seconds)
+    days = F.floor(held / 86400)
+    of_day = (held - days * 86400).cast("decimal(18,6)")
+    at = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(days.cast("int"), F.lit(0), F.lit(0), of_day)
+    return F.ltrim(at.cast("string"), F.lit("+"))
+
+
+#: Days that a timestamp holds on either side of the epoch.
+_DAYS = 106_751_991
+
+
 def to_string(value: Column, kind: Column | None = None) -> Column:
     """Text of a document value: ObjectId as hex, dates in UTC to the second, binary as base64, strings; one space for the rest."""
-    seconds = lambda millis: F.date_format(F.timestamp_seconds(F.floor(millis / 1000)), "yyyy-MM-dd HH:mm:ss")
+    seconds = lambda millis: _utc(F.floor(millis / 1000))
     kind = kind_of(value) if kind is None else kind
     return (
         F.when(kind == "string", F.try_variant_get(value, "$", "string"))
