@@ -433,6 +433,34 @@ def test_lm_match_decision_is_no_gain_without_a_match():
     assert miss + 2 ** (score(0, np.ones(10, bool)) - before) == pytest.approx(1, abs=1e-3)
 
 
+def test_lm_batches_of_one_shape(spark):
+    """Batches with the same ids and the same pattern of tokens, but other words, keep their own counts."""
+    texts = [f"w{k}" for k in range(8) for _ in range(k + 1)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([(None, t) for t in texts], len(texts)), DOC)
+    counts = collections.Counter(texts) + collections.Counter({None: len(texts)})
+    n, v = 2 * len(texts), len(counts)
+    base = lambda t: sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in (t, None))
+    got = sorted(r["base_score"] for r in lm_scoring.score(docs).collect())
+    assert got == pytest.approx(sorted(base(t) for t in texts))
+
+
+def test_lm_shuffles_less_than_thrice_its_text(spark):
+    """Dictionaries that have most of a batch's words, the worst case for counts that travel by token."""
+    rng = random.Random(5)
+    rows = [(k, " ".join(f"word{rng.randint(0, 500_000)}" for _ in range(40_000))) for k in range(16)]
+    docs = spark.createDataFrame(rows, DOC).repartition(4, "doc_id")
+    written = lambda: sum(x.totalShuffleWrite() for x in _executors(spark))
+    before = written()
+    assert lm_scoring.score(docs).count() == len(rows)
+    ratio = (written() - before) / sum(len(t) for _, t in rows)
+    assert ratio < 3
+
+
+def _executors(spark) -> list:
+    found = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return [found.apply(k) for k in range(found.size())]
+
+
 def test_lm_without_training(spark):
     only = [k for k in range(200) if zlib.crc32(str(k).encode()) % 7 == 2]
     out = lm_scoring.score(spark.createDataFrame([(k, "a b") for k in only], DOC)).collect()
